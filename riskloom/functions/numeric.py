@@ -13,6 +13,15 @@ def round_half_even(value: Column, digits: int) -> Column:
     return F.rint(value * scale) / scale + F.lit(0.0)
 
 
+def round_settled(value: Column, digits: int) -> Column:
+    """Round a mean, share or slope half to even, after removing the noise of floating-point addition.
+
+    Spark adds in the order in which tasks finish, so a value that lies midway between two results (``24.95``) comes
+    out a hair above or below it by chance. Rounding to nine digits first makes the result reproducible.
+    """
+    return round_half_even(round_half_even(value, 9), digits)
+
+
 def to_double(value: Column) -> Column:
     """Parse a number; text that is no number, and NaN, become null."""
     number = value.try_cast("double")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.functions.numeric import risk_bin, round_half_even
+from riskloom.functions.numeric import risk_bin, round_settled
 from riskloom.functions.significance import p_value
 from riskloom.operators.ranks import average_ranks
 from riskloom.vocabulary import MIN_PAIRED_ROWS, RISK_BINS, SCORE_COLUMNS, SIGNIFICANCE
@@ -17,7 +17,7 @@ def paired(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def _clipped(r: Column) -> Column:
-    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))
+    return F.when(r > 1.0, 1.0).when(r < -1.0, -1.0).otherwise(r)
 
 
 def pearson(df: DataFrame, x: str = "esg_risk_score", y: str = "success_rate") -> DataFrame:
@@ -101,7 +101,7 @@ def success_by_risk_bin(df: DataFrame, risk: str = "esg_risk_score", rate: str =
     for i, (name, _, _) in enumerate(RISK_BINS):
         inside = F.when(F.col("risk_group") == name, F.col(rate))
         measures += [
-            round_half_even(F.avg(inside), 1).alias(f"avg_success_rate_{i}"),
+            round_settled(F.avg(inside), 1).alias(f"avg_success_rate_{i}"),
             F.count(inside).alias(f"n_{i}"),
         ]
     return bin_rows(binned.agg(*measures), ("avg_success_rate", "n"))
@@ -115,7 +115,7 @@ def pillars_by_risk_bin(
     binned = df.filter(F.col(period) == latest).withColumn("risk_group", risk_bin(F.col(risk)))
     groups = (*RISK_BINS, ("ALL", 0.0, 0.0))
     measures = [
-        round_half_even(
+        round_settled(
             F.avg(F.col(c) if name == "ALL" else F.when(F.col("risk_group") == name, F.col(c))), 1
         ).alias(f"{c}_{i}")
         for i, (name, _, _) in enumerate(groups)

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.functions.numeric import flag, percent_of, round_half_even
+from riskloom.functions.numeric import flag, percent_of, round_half_even, round_settled
 from riskloom.vocabulary import GAP_RISK, MIN_TREND_POINTS
 
 
 def add_exposure(df: DataFrame, amount: str = "lending_amount") -> DataFrame:
     """Amount as percentage of the greatest amount of all rows, null where that is 0 or there is none."""
     greatest = df.agg(F.max(amount).alias("greatest")).scalar()
-    return df.withColumn("exposure_score", round_half_even(percent_of(F.col(amount), greatest), 1))
+    return df.withColumn("exposure_score", round_settled(percent_of(F.col(amount), greatest), 1))
 
 
 def add_priority(df: DataFrame, risk: str = "esg_risk_score", exposure: str = "exposure_score") -> DataFrame:
@@ -24,7 +24,7 @@ def risk_trends(
     """Least-squares slope of risk over the periods per entity, null below three points or with one period only."""
     enough = F.regr_count(risk, period) >= MIN_TREND_POINTS
     slope = F.when(enough, F.regr_slope(risk, period))
-    return df.dropna(subset=[entity]).groupBy(entity).agg(round_half_even(slope, 3).alias("risk_trend"))
+    return df.dropna(subset=[entity]).groupBy(entity).agg(round_settled(slope, 3).alias("risk_trend"))
 
 
 def add_risk_trend(

@@ -12,7 +12,7 @@ import math
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions.text import clean_key, compare_text
 from riskloom.operators.similarity import Block
@@ -49,8 +49,6 @@ def distinct_names(*sides: tuple[DataFrame, str]) -> DataFrame:
 
 def _best_in_block(threshold: float):
     def run(names: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
-        if names.empty or candidates.empty:
-            return pd.DataFrame({"name": [], "canonical": [], "rank": [], "score": []})
         ranked = candidates.sort_values("rank", kind="stable")
         keys, ranks = ranked["canonical"].tolist(), ranked["rank"].tolist()
         block = Block(ranked["compared"].tolist())
@@ -59,11 +57,16 @@ def _best_in_block(threshold: float):
             for name, text in zip(names["name"], names["compared"])
             for score, i in block.best_two(text, threshold)
         ]
-        return pd.DataFrame(rows, columns=["name", "canonical", "rank", "score"])
+        found = pd.DataFrame(rows, columns=["name", "canonical", "rank", "score"])
+        return found.astype({"name": object, "canonical": object, "rank": object, "score": "float64"})
 
     return run
 
 
+def _block_ids(n: int) -> Column:
+    return F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))
+
+
 def scored_matches(names: DataFrame, canonical: DataFrame, threshold: float = MATCH_THRESHOLD) -> DataFrame:
     """Best candidate and runner-up per name at or above ``threshold``; of equal scores the lower rank wins.
 
@@ -80,13 +83,13 @@ def scored_matches(names: DataFrame, canonical: DataFrame, threshold: float = MA
     left = (
         names.select("name", "compared")
         .withColumn("name_block", F.pmod(F.xxhash64("name"), F.lit(name_blocks)))
-        .withColumn("candidate_block", F.explode(F.sequence(F.lit(0), F.lit(candidate_blocks - 1))).cast("bigint"))
+        .withColumn("candidate_block", F.explode(_block_ids(candidate_blocks)))
         .repartition(partitions, *block)
     )
     right = (
         canonical.select("canonical", "rank", "compared")
         .withColumn("candidate_block", F.pmod(F.xxhash64("canonical"), F.lit(candidate_blocks)))
-        .withColumn("name_block", F.explode(F.sequence(F.lit(0), F.lit(name_blocks - 1))).cast("bigint"))
+        .withColumn("name_block", F.explode(_block_ids(name_blocks)))
         .repartition(partitions, *block)
     )
     best = (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.functions.numeric import round_half_even
+from riskloom.functions.numeric import round_settled
 
 
 def total(column: str) -> Column:
@@ -33,7 +33,7 @@ def aggregate_ratings(ratings: DataFrame, country: str = "country", period: str
         .groupBy(country, F.col(period).alias("year"))
         .agg(
             F.count("*").alias("projects_evaluated"),
-            round_half_even(F.avg("is_successful") * 100.0, 1).alias("success_rate"),
+            round_settled(F.avg("is_successful") * 100.0, 1).alias("success_rate"),
         )
     )
 
@@ -55,6 +55,6 @@ def success_by_key(success: DataFrame, key: str = "join_key", period: str = "yea
         .groupBy(key, period)
         .agg(
             F.sum("projects_evaluated").alias("projects_evaluated"),
-            round_half_even(F.try_divide(weighted, F.sum("projects_evaluated")), 1).alias("success_rate"),
+            round_settled(F.try_divide(weighted, F.sum("projects_evaluated")), 1).alias("success_rate"),
         )
     )

@@ -6,7 +6,7 @@ from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.functions.numeric import mean_of_present, round_half_even
+from riskloom.functions.numeric import mean_of_present, round_settled
 from riskloom.session import stored
 from riskloom.vocabulary import INDICATORS, PILLARS
 
@@ -67,7 +67,7 @@ def pillar_scores(
     scored = means.withColumn("esg_score", overall).withColumn("esg_risk_score", 100.0 - F.col("esg_score"))
     return scored.select(
         *entity,
-        *[round_half_even(F.col(n), 1).alias(n) for n in (*sorted(names), "esg_score", "esg_risk_score")],
+        *[round_settled(F.col(n), 1).alias(n) for n in (*sorted(names), "esg_score", "esg_risk_score")],
     )
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.functions.numeric import round_half_even
+from riskloom.functions.numeric import round_settled
 from riskloom.operators.rollups import total
 
 
@@ -33,6 +33,6 @@ def country_summary(
         F.max(period).alias("latest_year"),
         *[latest_present(c, period).alias(c) for c in latest],
         total("lending_amount").alias("total_lending_usd"),
-        round_half_even(F.avg("success_rate"), 1).alias("avg_success_rate"),
+        round_settled(F.avg("success_rate"), 1).alias("avg_success_rate"),
     )
     return summary.orderBy(F.desc_nulls_last("esg_risk_score"), country)

@@ -8,6 +8,11 @@ def r(expression: str, digits: int) -> str:
     return f"(round_even(({expression}) * 1e{digits}, 0) / 1e{digits} + 0e0)"
 
 
+def rs(expression: str, digits: int) -> str:
+    """The same after rounding to nine digits."""
+    return r(r(expression, 9), digits)
+
+
 def fy(date: str) -> str:
     return f"CAST(year({date}) + CASE WHEN month({date}) >= 7 THEN 1 ELSE 0 END AS INTEGER)"
 
@@ -51,8 +56,8 @@ MEAN3 = """(coalesce(e, 0e0) + coalesce(s, 0e0) + coalesce(g, 0e0))
   / nullif(CAST(e IS NOT NULL AS INT) + CAST(s IS NOT NULL AS INT) + CAST(g IS NOT NULL AS INT), 0)"""
 
 SCORES = f"""scores AS (
-  SELECT iso3, country, year, {r('e', 1)} AS environmental_score, {r('g', 1)} AS governance_score,
-         {r('s', 1)} AS social_score, {r('m', 1)} AS esg_score, {r('1e2 - m', 1)} AS esg_risk_score
+  SELECT iso3, country, year, {rs('e', 1)} AS environmental_score, {rs('g', 1)} AS governance_score,
+         {rs('s', 1)} AS social_score, {rs('m', 1)} AS esg_score, {rs('1e2 - m', 1)} AS esg_risk_score
   FROM (SELECT *, {MEAN3} AS m FROM (
     SELECT iso3, country, year, avg(norm) FILTER (pillar = 'environmental') AS e,
            avg(norm) FILTER (pillar = 'social') AS s, avg(norm) FILTER (pillar = 'governance') AS g
@@ -93,7 +98,7 @@ RATINGS = {
 
 SUCCESS = f"""success AS (
   SELECT country, closing_year AS year, CAST(count(*) AS BIGINT) AS projects_evaluated,
-         {r('avg(is_successful) * 1e2', 1)} AS success_rate
+         {rs('avg(is_successful) * 1e2', 1)} AS success_rate
   FROM ratings GROUP BY ALL)"""
 
 MASTER = """master AS (
@@ -113,11 +118,11 @@ def master(grain: str = "customer") -> str:
 
 EXPOSED = f"""exposed AS (
   SELECT *, {r('esg_risk_score / 1e2 * exposure_score', 2)} AS priority_score
-  FROM (SELECT *, {r('lending_amount / nullif((SELECT max(lending_amount) FROM master), 0e0) * 1e2', 1)}
+  FROM (SELECT *, {rs('lending_amount / nullif((SELECT max(lending_amount) FROM master), 0e0) * 1e2', 1)}
         AS exposure_score FROM master))"""
 
 TREND = f"""CASE WHEN regr_count(esg_risk_score, year) >= 3 AND count(DISTINCT year) > 1
-  THEN {r('regr_slope(esg_risk_score, year)', 3)} END"""
+  THEN {rs('regr_slope(esg_risk_score, year)', 3)} END"""
 
 TRENDS = f"""trends AS (SELECT country, {TREND} AS risk_trend FROM scores GROUP BY country)"""
 
@@ -287,7 +292,7 @@ add(
 add(
     "success_on_key",
     f"""SELECT left(country, 8) AS join_key, year, CAST(sum(projects_evaluated) AS BIGINT) AS projects_evaluated,
-  {r('sum(success_rate * projects_evaluated) / sum(projects_evaluated)', 1)} AS success_rate
+  {rs('sum(success_rate * projects_evaluated) / sum(projects_evaluated)', 1)} AS success_rate
 FROM success GROUP BY 1, 2""",
     COUNTRIES, RATINGS["nation"], SUCCESS,
 )
@@ -394,12 +399,12 @@ add(
 add(
     "success_by_bin",
     f"""SELECT bin_id, risk_group, avg_success_rate, coalesce(n, 0) AS n FROM {BINS} LEFT JOIN (
-  SELECT {BIN} AS risk_group, {r('avg(success_rate)', 1)} AS avg_success_rate, count(*) AS n
+  SELECT {BIN} AS risk_group, {rs('avg(success_rate)', 1)} AS avg_success_rate, count(*) AS n
   FROM master WHERE success_rate IS NOT NULL AND esg_risk_score IS NOT NULL GROUP BY 1) USING (risk_group)""",
     master(),
 )
 PILLAR_MEANS = ", ".join(
-    f"{r(f'avg({c})', 1)} AS {c}" for c in ("environmental_score", "social_score", "governance_score")
+    f"{rs(f'avg({c})', 1)} AS {c}" for c in ("environmental_score", "social_score", "governance_score")
 )
 add(
     "pillars_by_bin",
@@ -427,7 +432,7 @@ add(
     "summary_by_country",
     f"""SELECT country, {last('iso3')}, max(year) AS latest_year, {LATEST}, max(risk_trend) AS risk_trend,
   CAST(max_by({GAP}, year) AS INTEGER) AS lending_gap,
-  {r('coalesce(sum(lending_amount), 0e0)', 2)} AS total_lending_usd, {r('avg(success_rate)', 1)} AS avg_success_rate
+  {r('coalesce(sum(lending_amount), 0e0)', 2)} AS total_lending_usd, {rs('avg(success_rate)', 1)} AS avg_success_rate
 FROM exposed JOIN trends USING (country) GROUP BY country""",
     master(), EXPOSED, TRENDS,
 )
@@ -505,11 +510,11 @@ FROM exposed WHERE year = {BUSIEST} AND esg_risk_score IS NOT NULL AND exposure_
 add(
     "chart_pillars",
     f"""SELECT country, pillar, {r('score', 6)} AS score FROM (
-  UNPIVOT INCLUDE NULLS (SELECT country, environmental_score, social_score, governance_score FROM (
+  SELECT * FROM (SELECT country, environmental_score, social_score, governance_score FROM (
     SELECT country, avg(esg_score) AS m, avg(environmental_score) AS environmental_score,
            avg(social_score) AS social_score, avg(governance_score) AS governance_score
-    FROM master GROUP BY country ORDER BY m DESC, country LIMIT 15))
-  ON environmental_score, social_score, governance_score INTO NAME pillar VALUE score)""",
+    FROM master GROUP BY country ORDER BY m DESC NULLS LAST, country LIMIT 15))
+  UNPIVOT INCLUDE NULLS (score FOR pillar IN (environmental_score, social_score, governance_score)))""",
     master(),
 )
 add(

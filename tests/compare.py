@@ -7,6 +7,7 @@ import math
 import os
 import sys
 import time
+from collections import Counter
 
 
 def connect(folder: str):
@@ -50,9 +51,9 @@ def differences(df, connection, sql: str) -> str | None:
             return f"type of {name}: {kind} != {types[name]}"
     if len(ours) != len(theirs):
         return f"rows {len(ours)} != {len(theirs)}"
-    wrong = [(a, b) for a, b in zip(ours, theirs) if a != b]
-    if wrong:
-        return f"{len(wrong)} of {len(ours)} rows differ, first {wrong[0]}"
+    if ours != theirs:
+        left, right = Counter(ours) - Counter(theirs), Counter(theirs) - Counter(ours)
+        return f"{sum(left.values())} of {len(ours)} rows differ, {list(left)[:2]} != {list(right)[:2]}"
     return None
 
 
