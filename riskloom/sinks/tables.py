@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from riskloom.operators.dedup import one_per_key, split_null_keys
@@ -101,7 +101,7 @@ def upsert(
     try:
         target = incoming.alias("s").mergeInto(table, _on(table, keys))
         target.whenMatched().updateAll().whenNotMatched().insertAll().merge()
-    except AnalysisException as error:
+    except PySparkException as error:
         if not (error.getCondition() or "").startswith("UNSUPPORTED_FEATURE"):
             raise
         _replace_rows(incoming, table, keys)
