@@ -4,19 +4,37 @@ from __future__ import annotations
 
 import sys
 import unicodedata
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import cache
 
 from pyspark.sql import Column, functions as F
 
 from riskloom.vocabulary import COUNTRY_ALIASES, SUCCESS_OUTCOMES
 
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+_SPACES = "".join(chr(point) for point in range(0x3001) if chr(point).isspace())
 _NON_ASCII = r"[^\x00-\x7F]"
 
 
 def strip_text(value: Column) -> Column:
-    return F.regexp_replace(value.cast("string"), _EDGE_SPACE, "")
+    """Text without white space of any kind at its ends."""
+    return F.trim(value.cast("string"), F.lit(_SPACES))
+
+
+def literal_map(items: Mapping[str, str]) -> Column:
+    """Constant map of texts, built from one literal so that the plan stays small; Spark folds it into a constant."""
+    joined = "\x01".join(f"{k}\x02{v}" for k, v in items.items())
+    return F.str_to_map(F.lit(joined), F.lit("\x01"), F.lit("\x02"))
+
+
+def _any_of(chars: Iterable[str]) -> str:
+    """Regular expression for one of ``chars``, written as ranges of code points."""
+    ranges: list[list[int]] = []
+    for point in sorted(map(ord, chars)):
+        if ranges and ranges[-1][1] == point - 1:
+            ranges[-1][1] = point
+        else:
+            ranges.append([point, point])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]"
 
 
 @cache
@@ -38,13 +56,13 @@ def ascii_fold(value: Column) -> Column:
     """Compatibility-decompose and drop everything outside ASCII. Rows that are ASCII already take a short way."""
     single, target, several = _ascii_forms()
     folded = F.translate(value, single, target)
-    pairs = F.create_map(*[F.lit(x) for item in several.items() for x in item])
+    pairs = literal_map(several)
     spelled = F.array_join(
         F.transform(F.split(folded, ""), lambda c: F.coalesce(F.try_element_at(pairs, c), c)), ""
     )
     return F.when(
         value.rlike(_NON_ASCII),
-        F.regexp_replace(F.when(folded.rlike(_NON_ASCII), spelled).otherwise(folded), _NON_ASCII, ""),
+        F.regexp_replace(F.when(folded.rlike(_any_of(several)), spelled).otherwise(folded), _NON_ASCII, ""),
     ).otherwise(value)
 
 
@@ -56,8 +74,7 @@ def clean_key(value: Column) -> Column:
 def alias_key(value: Column, aliases: Mapping[str, str] = COUNTRY_ALIASES) -> Column:
     """Join key of a name after replacing the spellings listed in ``aliases``; a curly apostrophe counts as straight."""
     key = ascii_fold(F.replace(F.lower(strip_text(value)), F.lit("’"), F.lit("'")))
-    table = F.create_map(*[F.lit(x) for item in aliases.items() for x in item])
-    return F.coalesce(F.try_element_at(table, key), key)
+    return F.coalesce(F.try_element_at(literal_map(aliases), key), key)
 
 
 def compare_text(key: Column) -> Column:

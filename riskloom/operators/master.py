@@ -7,9 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.functions.text import alias_key, clean_key
-from riskloom.operators.matching import canonical_names, distinct_names, match_audit, name_keys
+from riskloom.operators.matching import canonical_names, distinct_spellings, spelling_keys, with_key
 from riskloom.operators.rollups import lending_by_key, success_by_key
-from riskloom.session import stored
 from riskloom.vocabulary import AGGREGATE_LOANS, AGGREGATE_RATINGS, COUNTRY_ALIASES, MASTER, MATCH_THRESHOLD
 
 
@@ -24,12 +23,9 @@ def _keyed(
         return keyed(esg), keyed(lending), keyed(success)
     if match != "scored":
         raise ValueError(f"unknown match: {match}")
-    audit = match_audit(
-        distinct_names((lending, "country"), (success, "country")), canonical_names(esg), threshold
-    )
-    keys = stored(name_keys(audit), "name-keys")
-    named = lambda df: df.withColumn("name", clean_key(F.col("country"))).join(keys, "name", "left")
-    return keyed(esg), named(lending), named(success)
+    spellings = distinct_spellings((lending, "country"), (success, "country"))
+    keys = spelling_keys(spellings, canonical_names(esg), threshold)
+    return keyed(esg), with_key(lending, "country", keys), with_key(success, "country", keys)
 
 
 def build_master(

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.functions.text import clean_key, compare_text
+from riskloom.functions.text import clean_key, compare_text, literal_map
 from riskloom.operators.similarity import Block
 from riskloom.session import stored
 from riskloom.vocabulary import MATCH_THRESHOLD
@@ -29,22 +29,28 @@ def canonical_names(
 ) -> DataFrame:
     """Distinct keys of the canonical names; ``rank`` is the place of their first row in the order of ``order``."""
     rank = F.concat_ws(_RANK_SEPARATOR, *[F.col(c).cast("string") for c in order])
+    # distinct rows first: a name is cleaned once, not once per period
+    distinct = entities.select(*dict.fromkeys([name, *order])).dropna(subset=[name]).distinct()
     return (
-        entities.select(clean_key(F.col(name)).alias("canonical"), rank.alias("rank"))
-        .filter(F.col("canonical").isNotNull())
+        distinct.select(clean_key(F.col(name)).alias("canonical"), rank.alias("rank"))
         .groupBy("canonical")
         .agg(F.min("rank").alias("rank"))
         .withColumn("compared", compare_text(F.col("canonical")))
     )
 
 
-def distinct_names(*sides: tuple[DataFrame, str]) -> DataFrame:
-    """Distinct keys of the names in the given columns."""
-    keys = [df.select(clean_key(F.col(c)).alias("name")) for df, c in sides]
-    merged = keys[0]
-    for more in keys[1:]:
+def distinct_spellings(*sides: tuple[DataFrame, str]) -> DataFrame:
+    """Distinct texts in the given columns with their cleaned ``name``; each spelling is cleaned once."""
+    texts = [df.select(F.col(c).cast("string").alias("spelling")) for df, c in sides]
+    merged = texts[0]
+    for more in texts[1:]:
         merged = merged.unionByName(more)
-    return merged.filter(F.col("name").isNotNull()).distinct().withColumn("compared", compare_text(F.col("name")))
+    return merged.filter(F.col("spelling").isNotNull()).distinct().withColumn("name", clean_key(F.col("spelling")))
+
+
+def distinct_names(spellings: DataFrame) -> DataFrame:
+    """Distinct cleaned names in the form they are compared in."""
+    return spellings.select("name").distinct().withColumn("compared", compare_text(F.col("name")))
 
 
 def _best_in_block(threshold: float):
@@ -121,8 +127,7 @@ def match_audit(
     """
     names, canonical = stored(names, "names"), stored(canonical, "canonical")
     if aliases:
-        table = F.create_map(*[F.lit(x) for item in aliases.items() for x in item])
-        alias = F.try_element_at(table, F.col("name"))
+        alias = F.try_element_at(literal_map(aliases), F.col("name"))
         names = names.withColumn("aliased", alias.isNotNull()).withColumn(
             "compared", compare_text(F.coalesce(alias, F.col("name")))
         )
@@ -155,9 +160,23 @@ def match_audit(
     return matched.unionByName(unequal)
 
 
-def name_keys(audit: DataFrame) -> DataFrame:
-    """Join key per name: the matched candidate, or the name itself, which then joins to nothing."""
-    return audit.select("name", F.coalesce("canonical", "name").alias("join_key"))
+def spelling_keys(
+    spellings: DataFrame, canonical: DataFrame, threshold: float = MATCH_THRESHOLD, output: str = "join_key"
+) -> DataFrame:
+    """Join key per spelling: the matched candidate, or the cleaned name itself, which then joins to nothing.
+
+    The table is stored: the rows it is joined to need no cleaning, and the planner sees whether it is small.
+    """
+    spellings = stored(spellings, "spellings")
+    keys = match_audit(distinct_names(spellings), canonical, threshold).select(
+        "name", F.coalesce("canonical", "name").alias(output)
+    )
+    return stored(spellings.join(keys, "name").select("spelling", output), "spelling-keys")
+
+
+def with_key(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """Add the join key of the spelling in ``column``, null for a null."""
+    return df.join(keys.withColumnRenamed("spelling", column), column, "left")
 
 
 def match_to_canonical(
@@ -165,6 +184,5 @@ def match_to_canonical(
     threshold: float = MATCH_THRESHOLD, output: str = "join_key",
 ) -> DataFrame:
     """Add to ``df`` the key of the canonical name that ``column`` matches best."""
-    audit = match_audit(distinct_names((df, column)), canonical_names(entities, canonical_column, order), threshold)
-    keys = stored(name_keys(audit).withColumnRenamed("join_key", output), "name-keys")
-    return df.withColumn("name", clean_key(F.col(column))).join(keys, "name", "left").drop("name")
+    canonical = canonical_names(entities, canonical_column, order)
+    return with_key(df, column, spelling_keys(distinct_spellings((df, column)), canonical, threshold, output))

@@ -23,7 +23,13 @@ from riskloom.operators.coverage import coverage_report, years_covered
 from riskloom.operators.dedup import one_per_key, split_null_keys
 from riskloom.operators.exposure import add_exposure, add_lending_gap, add_priority, add_risk_trend, risk_trends
 from riskloom.operators.master import build_master, top_borrowers
-from riskloom.operators.matching import canonical_names, distinct_names, match_audit, match_to_canonical
+from riskloom.operators.matching import (
+    canonical_names,
+    distinct_names,
+    distinct_spellings,
+    match_audit,
+    match_to_canonical,
+)
 from riskloom.operators.ranks import average_ranks
 from riskloom.operators.rollups import aggregate_loans, aggregate_ratings, lending_by_key, success_by_key
 from riskloom.operators.scoring import normalise, pillar_scores
@@ -76,13 +82,18 @@ def _success(spark: SparkSession, folder: str, grain: str) -> DataFrame:
 
 
 def _master(spark: SparkSession, folder: str, grain: str = "customer", match: str = "equal") -> DataFrame:
-    """Master table of customers (many entities, gaps in lending and success) or of nations."""
-    return build_master(
-        _scores(spark, folder, grain),
-        _lending(spark, folder, grain, "IBRD" if grain == "customer" else None),
-        _success(spark, folder, grain),
-        match=match,
-    )
+    """Master table of customers (many entities, gaps in lending and success) or of nations.
+
+    A match by score reads the roll-ups twice, for their names and for their rows, so they are stored for it.
+    """
+    scores = _scores(spark, folder, grain)
+    lending = _lending(spark, folder, grain, "IBRD" if grain == "customer" else None)
+    success = _success(spark, folder, grain)
+    if match == "scored":
+        scores, lending, success = (
+            stored(df, name) for df, name in ((scores, "scores"), (lending, "lending"), (success, "success"))
+        )
+    return build_master(scores, lending, success, match=match)
 
 
 def _enriched(spark: SparkSession, folder: str) -> DataFrame:
@@ -349,7 +360,8 @@ def fuzzy_match(spark, folder):
 def fuzzy_match_audit(spark, folder):
     parts = star.table(spark, folder, "part").select("p_name")
     audit = match_audit(
-        distinct_names((_spellings(spark, folder), "spelling")), canonical_names(parts, "p_name", ["p_name"])
+        distinct_names(distinct_spellings((_spellings(spark, folder), "spelling"))),
+        canonical_names(parts, "p_name", ["p_name"]),
     )
     return _rounded(audit, 4, "score").select("name", "canonical", "score", "method")
 

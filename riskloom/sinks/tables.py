@@ -37,6 +37,8 @@ def ensure_table(df: DataFrame, table: str, fmt: str = "parquet", partition_by:
 
 def overwrite(df: DataFrame, table: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> int:
     """Replace a table, its columns included, and return the number of rows written."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     df, seen = counted(df)
     df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").partitionBy(*partition_by).saveAsTable(
         table
@@ -80,7 +82,8 @@ def _replace_rows(incoming: DataFrame, table: str, keys: Sequence[str]) -> None:
         existing = existing.join(touched, parts, "left_semi")
         rows = stored(merged(existing, incoming, keys), "upsert").select(*columns)
         with _dynamic_partitions(spark):
-            rows.repartition(*parts, F.pmod(F.xxhash64(*keys), F.lit(32))).write.insertInto(table, overwrite=True)
+            # rebalancing brings a partition's rows together and splits a partition that is too large for one task
+            rows.hint("rebalance", *parts).write.insertInto(table, overwrite=True)
     else:
         stored(merged(existing, incoming, keys), "upsert").select(*columns).write.insertInto(table, overwrite=True)
 

@@ -13,7 +13,9 @@ from riskloom.operators.coverage import coverage_report, years_covered
 from riskloom.operators.dedup import one_per_key, split_null_keys
 from riskloom.operators.exposure import add_exposure, add_lending_gap, add_priority, add_risk_trend, risk_trends
 from riskloom.operators.master import build_master, top_borrowers
-from riskloom.operators.matching import canonical_names, distinct_names, match_audit, match_to_canonical
+from riskloom.operators.matching import (
+    canonical_names, distinct_names, distinct_spellings, match_audit, match_to_canonical,
+)
 from riskloom.operators.ranks import average_ranks
 from riskloom.operators.rollups import aggregate_loans, aggregate_ratings, lending_by_key, success_by_key
 from riskloom.operators.scoring import aggregate_esg, normalise
@@ -167,7 +169,7 @@ def test_result_does_not_depend_on_blocks(spark, monkeypatch):
 def test_audit_names_method_and_runner_up(spark):
     left = spark.createDataFrame([("Iran, Islamic Republic of",), ("Turkey",), ("brazil",), ("qqq",)], "raw string")
     right = spark.createDataFrame([(c, c) for c in FULL], "iso3 string, country string")
-    names, canonical = distinct_names((left, "raw")), canonical_names(right)
+    names, canonical = distinct_names(distinct_spellings((left, "raw"))), canonical_names(right)
     rows = {r["name"]: r for r in match_audit(names, canonical, 80.0, {"turkey": "turkiye"}).collect()}
     iran = rows["iran, islamic republic of"]
     assert (iran.canonical, iran.method, iran.runner_up) == ("kyrgyz republic", "scored", "iran, islamic rep.")
@@ -309,6 +311,19 @@ def test_average_ranks_equal_pandas(spark):
     assert got == dict(zip(frame, frame.rank()))
 
 
+def test_average_ranks_over_several_ranges(spark):
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    frame = pd.Series(np.random.default_rng(8).integers(0, 3000, 5000).astype(float))
+    df = spark.createDataFrame([(v,) for v in frame.tolist()], "v double")
+    spark.conf.set(setting, "false")
+    try:
+        ranks = average_ranks(df.groupBy("v").agg(F.count("*").alias("n")), "v", "n")
+        got = {r.v: r["rank"] for r in ranks.collect()}
+    finally:
+        spark.conf.set(setting, "true")
+    assert got == dict(zip(frame, frame.rank()))
+
+
 def test_spearman_with_a_hot_value(spark):
     rng = np.random.default_rng(6)
     frame = pd.DataFrame({"x": np.where(rng.random(400) < 0.4, 0.0, rng.integers(0, 30, 400)).astype(float),
