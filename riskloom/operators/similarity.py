@@ -63,13 +63,21 @@ def _best_window(short: str, long: str) -> float:
     return best
 
 
-def partial_ratio(a: str, b: str) -> float:
-    """Ratio of the shorter string to the window of the longer one it resembles most."""
+def partial_ratio(a: str, b: str, needed: float = 0.0) -> float:
+    """Ratio of the shorter string to the window of the longer one it resembles most.
+
+    No window has more in common with the shorter string than the whole of the longer one has; where that rules out
+    a result above ``needed``, 0 is returned.
+    """
     if not a or not b:
         return 100.0 if a == b else 0.0
+    short, long = sorted((a, b), key=len)
+    common = common_length(_positions(short), len(short), long)
+    if _share(common, len(short) + common) < needed:
+        return 0.0
     if len(a) == len(b):
         return max(_best_window(a, b), _best_window(b, a))
-    return _best_window(*sorted((a, b), key=len))
+    return _best_window(short, long)
 
 
 class Name(NamedTuple):
@@ -101,28 +109,28 @@ def _word_ratio(a: Name, b: Name) -> float:
     return best
 
 
-def _partial_word_ratio(a: Name, b: Name) -> float:
+def _partial_word_ratio(a: Name, b: Name, needed: float) -> float:
     if a.words & b.words:
         return 100.0
-    best = partial_ratio(a.in_order, b.in_order)
+    best = partial_ratio(a.in_order, b.in_order, needed)
     if (a.once, b.once) != (a.in_order, b.in_order):
-        best = max(best, partial_ratio(a.once, b.once))
+        best = max(best, partial_ratio(a.once, b.once, needed))
     return best
 
 
-def weighted_ratio(a: Name, b: Name) -> float:
+def weighted_ratio(a: Name, b: Name, needed: float = 0.0) -> float:
+    """Score of two names; a score below ``needed`` may come out lower than it is."""
     if not a.text or not b.text:
         return 0.0
     short, long = sorted((len(a.text), len(b.text)))
-    plain = ratio(a.text, b.text)
+    best = ratio(a.text, b.text)
     if long < SIMILAR_LENGTH * short:
-        return max(plain, WORD_WEIGHT * _word_ratio(a, b))
+        return max(best, _word_ratio(a, b) * WORD_WEIGHT)
     weight = PARTIAL_WEIGHT if long <= LONG_LENGTH * short else LONG_WEIGHT
-    return max(
-        plain,
-        weight * partial_ratio(a.text, b.text),
-        WORD_WEIGHT * weight * _partial_word_ratio(a, b),
-    )
+    slack = 1e-9
+    by_words = weight * WORD_WEIGHT
+    best = max(best, _partial_word_ratio(a, b, max(best, needed) / by_words - slack) * WORD_WEIGHT * weight)
+    return max(best, partial_ratio(a.text, b.text, max(best, needed) / weight - slack) * weight)
 
 
 # characters that occur in compared names: digits, lower-case letters, "_" and blank
@@ -152,8 +160,8 @@ class Block:
                 by_word[word].append(i)
         self.by_word = {word: np.array(places) for word, places in by_word.items()}
 
-    def bounds(self, name: Name) -> np.ndarray:
-        """Upper bound of the score against every candidate, from lengths, common letters and common words."""
+    def limits(self, name: Name) -> tuple[np.ndarray, np.ndarray]:
+        """Least and greatest possible score against every candidate, from lengths, letters and words in common."""
         size, least = len(name.text), len(name.once)
         common = np.minimum(self.letters, _letter_counts([name.text])).sum(axis=1, dtype=np.int64)
         apart = np.maximum(self.length, size) / np.maximum(np.minimum(self.length, size), 1.0)
@@ -165,31 +173,37 @@ class Block:
         window = np.minimum(200.0 * common / np.maximum(short + common, 1.0), 100.0)
         # strings that differ in length by more than the limit cannot be more alike than this as a whole
         unequal = np.minimum(whole, 200.0 / (1.0 + SIMILAR_LENGTH))
-        bound = np.where(similar, whole, np.maximum(unequal, weight * window))
+        by_letters = np.where(similar, whole, np.maximum(unequal, weight * window)) + 1e-9
 
         base = np.zeros(len(self.names))
         for word in name.words:
             if word in self.by_word:
                 base[self.by_word[word]] += len(word) + 1
-        shared = base > 0
         # only-words of the side that has fewer of them; none left means that its words are all common
         rest = short - (base - 1)
         sets = np.where(rest <= 0, 100.0, 200.0 * (base - 1) / np.maximum(2 * (base - 1) + rest, 1.0))
-        by_words = WORD_WEIGHT * np.where(similar, sets, weight * 100.0)
-        return np.where(shared, np.maximum(bound, by_words), bound) + 1e-9
+        by_words = np.where(similar, sets * WORD_WEIGHT, 100.0 * WORD_WEIGHT * weight)
+        by_words = np.where((base > 0) & (self.length > 0), by_words, 0.0)
+        return by_words, np.maximum(by_letters, by_words)
 
     def best_two(self, text: str, threshold: float) -> list[tuple[float, int]]:
-        """Score and rank of the best candidate and the runner-up at or above ``threshold``; lower rank wins ties."""
+        """Score and rank of the best candidate and the runner-up at or above ``threshold``; lower rank wins ties.
+
+        Where common words alone decide the score it is known without comparing letters. The others are compared in
+        the order of their greatest possible score, until that is below the runner-up's.
+        """
         name = prepare(text)
         if not name.text:
             return []
-        bounds = self.bounds(name)
-        open_ = np.flatnonzero(bounds >= threshold)
-        top: list[tuple[float, int]] = []
-        for i in open_[np.argsort(-bounds[open_], kind="stable")]:
-            if len(top) == 2 and bounds[i] < top[1][0]:
+        least, greatest = self.limits(name)
+        known = np.flatnonzero((least >= greatest) & (least >= threshold))
+        top = [(float(least[i]), int(i)) for i in known[np.argsort(-least[known], kind="stable")[:2]]]
+        open_ = np.flatnonzero((least < greatest) & (greatest >= threshold))
+        for i in open_[np.argsort(-greatest[open_], kind="stable")]:
+            needed = top[1][0] if len(top) == 2 else threshold
+            if greatest[i] < needed:
                 break
-            score = weighted_ratio(name, self.names[i])
-            if score >= threshold:
+            score = weighted_ratio(name, self.names[i], needed)
+            if score >= needed:
                 top = sorted([*top, (score, int(i))], key=lambda x: (-x[0], x[1]))[:2]
         return top

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from riskloom.operators.rollups import total
-from riskloom.sinks.tables import Written, upsert
+from riskloom.sinks.tables import Written, upsert, write_csv
 from riskloom.sources.envelopes import parse_countries, parse_observations, read_pages
 from riskloom.sources.feeds import esg_bronze, loans_bronze, normalise_ratings
 from riskloom.sources.resolve import first_non_empty
@@ -80,6 +80,11 @@ def write_bronze(
     return written
 
 
+def write_bronze_files(tables: Mapping[str, DataFrame], out: str) -> dict[str, int]:
+    """The bronze tables as CSV folders; a table without columns, from feeds that had no data, is left out."""
+    return {name: write_csv(df, f"{out}/{name}.csv") for name, df in tables.items() if df.columns}
+
+
 def run_bronze(
     spark: SparkSession, landed: Landed, database: str, *, start: int | None = None, end: int | None = None,
     skip_ratings: bool = False, fmt: str = "parquet",

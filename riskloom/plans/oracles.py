@@ -149,11 +149,21 @@ MASTER_COLUMNS = f"""iso3, country, year, environmental_score, governance_score,
   esg_risk_score, {AMOUNTS}, projects_evaluated, success_rate"""
 
 
-def spearman(source: str) -> str:
-    return f"""ranked AS (
+RANKED = """ranked AS (
   SELECT rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2e0 AS rx,
-         rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2e0 AS ry FROM {source})
-SELECT CAST(count(*) AS BIGINT) AS n, {r('corr(rx, ry)', 6)} AS rho FROM ranked"""
+         rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2e0 AS ry FROM paired)"""
+SPEARMAN = f"SELECT CAST(count(*) AS BIGINT) AS n, {r('corr(rx, ry)', 6)} AS rho FROM ranked"
+
+# p-value of a correlation by the finite series of Student's t distribution, whose terms differ for an even and an odd
+# number of degrees of freedom; r = sin(theta), 1 - r^2 = cos(theta)^2
+P_VALUES = """terms AS (
+  SELECT *, sum(CASE WHEN k = 0 THEN 0e0 WHEN n % 2 = 0 THEN ln((2 * k - 1) / (2e0 * k)) ELSE ln(2 * k / (2e0 * k + 1)) END)
+    OVER (PARTITION BY test ORDER BY k) AS factor
+  FROM (SELECT test, r, n, unnest(range(0, (n - 2) // 2)) AS k FROM tests)),
+p_values AS (
+  SELECT test, 1 - CASE WHEN any_value(n) % 2 = 0 THEN abs(any_value(r)) * sum(exp(factor + k * ln(1 - r * r)))
+    ELSE 2 / pi() * (asin(abs(any_value(r))) + abs(any_value(r)) * sum(exp(factor + (k + 0.5e0) * ln(1 - r * r)))) END AS p
+  FROM terms GROUP BY test)"""
 
 
 ORACLES: dict[str, str] = {}
@@ -379,9 +389,23 @@ COVERAGE = [
 add("coverage", " UNION ALL ".join(COVERAGE), master())
 add("master_years", "SELECT year, CAST(count(*) AS BIGINT) AS n FROM master GROUP BY year", master())
 add("pearson_correlation", f"SELECT count(*) AS n, {r('corr(x, y)', 6)} AS r FROM paired", master(), PAIRED)
-ORACLES["spearman_correlation"] = f"WITH {master()}, {PAIRED}, {spearman('paired')}"
-ORACLES["price_quantity_rank_correlation"] = (
-    "WITH paired AS (SELECT l_extendedprice AS x, l_quantity AS y FROM lineitem), " + spearman("paired")
+add("spearman_correlation", SPEARMAN, master(), PAIRED, RANKED)
+add(
+    "price_quantity_rank_correlation",
+    SPEARMAN,
+    "paired AS (SELECT l_extendedprice AS x, l_quantity AS y FROM lineitem)", RANKED,
+)
+add(
+    "correlation_test",
+    f"""SELECT n, {r('r', 6)} AS r, {r('rho', 6)} AS rho, {r('p', 6)} AS p, {r('p_rho', 6)} AS p_rho,
+  p < 0.05 OR p_rho < 0.05 AS significant
+FROM (SELECT (SELECT n FROM tests WHERE test = 'r') AS n, (SELECT r FROM tests WHERE test = 'r') AS r,
+  (SELECT r FROM tests WHERE test = 'rho') AS rho, (SELECT p FROM p_values WHERE test = 'r') AS p,
+  (SELECT p FROM p_values WHERE test = 'rho') AS p_rho)""",
+    master(), PAIRED, RANKED,
+    """tests AS (SELECT 'r' AS test, count(*) AS n, corr(x, y) AS r FROM paired
+  UNION ALL SELECT 'rho', count(*), corr(rx, ry) FROM ranked)""",
+    P_VALUES,
 )
 add(
     "price_ranks",
@@ -391,10 +415,10 @@ FROM (SELECT o_totalprice, rank() OVER (ORDER BY o_totalprice) AS k FROM orders)
 add(
     "linear_regression",
     f"""SELECT count(*) AS n, {r('regr_slope(y, x)', 6)} AS slope, {r('regr_intercept(y, x)', 6)} AS intercept,
-  {r('corr(x, y)', 6)} AS r, {r('min(x)', 6)} AS x_min, {r('max(x)', 6)} AS x_max,
+  {r('corr(x, y)', 6)} AS r, {r('(SELECT p FROM p_values)', 6)} AS p, {r('min(x)', 6)} AS x_min, {r('max(x)', 6)} AS x_max,
   {r('regr_intercept(y, x) + regr_slope(y, x) * min(x)', 6)} AS y_at_min,
   {r('regr_intercept(y, x) + regr_slope(y, x) * max(x)', 6)} AS y_at_max FROM paired""",
-    master(), PAIRED,
+    master(), PAIRED, "tests AS (SELECT 'r' AS test, count(*) AS n, corr(x, y) AS r FROM paired)", P_VALUES,
 )
 add(
     "success_by_bin",

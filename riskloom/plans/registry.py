@@ -174,7 +174,7 @@ def first_non_empty_feed(spark, folder):
 
 @query
 def csv_round_trip(spark, folder):
-    path = f"{shared_folder(spark)}/riskloom/loans-{uuid.uuid4().hex}.csv"
+    path = f"{shared_folder(spark)}/loans-{uuid.uuid4().hex}.csv"
     write_csv(star.loans(spark, folder), path)
     return read_table_file(spark, path, LOANS)
 
@@ -457,7 +457,8 @@ def spearman_correlation(spark, folder):
 
 @query
 def correlation_test(spark, folder):
-    return risk_success_correlation(stored(_master(spark, folder), "master"))
+    test = risk_success_correlation(stored(_master(spark, folder), "master"))
+    return _rounded(test, 6, "r", "rho", "p", "p_rho")
 
 
 @query
@@ -474,8 +475,8 @@ def price_quantity_rank_correlation(spark, folder):
 
 @query
 def linear_regression(spark, folder):
-    fit = linear_fit(_master(spark, folder)).drop("p")
-    return _rounded(fit, 6, "slope", "intercept", "r", "x_min", "x_max", "y_at_min", "y_at_max")
+    fit = linear_fit(_master(spark, folder))
+    return _rounded(fit, 6, "slope", "intercept", "r", "p", "x_min", "x_max", "y_at_min", "y_at_max")
 
 
 @query

@@ -37,6 +37,10 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDER[app]
 
 
+def _stored_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/riskloom-{spark.conf.get('spark.app.id')}"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -45,11 +49,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     ``spark.sql.autoBroadcastJoinThreshold``.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/riskloom/{label}-{uuid.uuid4().hex}"
+    path = f"{_stored_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_stored(spark: SparkSession) -> None:
+    """Delete the tables this application has stored. Frames that read them cannot be used any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stored_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.rollups import aggregate_loans, aggregate_ratings
 from riskloom.plans.analysis import analyse, run_analysis_files
-from riskloom.plans.bronze import Landed, bronze_tables, loans_have_ids, run_bronze, write_bronze
+from riskloom.plans.bronze import Landed, bronze_tables, loans_have_ids, run_bronze, write_bronze, write_bronze_files
 from riskloom.plans.gold import gold_tables, run_gold, run_gold_files
-from riskloom.session import shared_folder, stored
+from riskloom.session import release_stored, shared_folder, stored
 from riskloom.sinks.tables import ensure_table, overwrite, upsert, write_csv, write_csv_unless_empty
 from riskloom.sources.envelopes import parse_batches
 from riskloom.sources.feeds import normalise_loans
@@ -60,6 +60,13 @@ def test_shared_folder_is_the_one_of_the_session(spark):
     assert df.count() == 5 and all(shared_folder(spark) in f for f in df.inputFiles())
 
 
+def test_stored_tables_can_be_released(spark):
+    folder = stored(spark.range(3).toDF("n"), "numbers").inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(folder)
+    release_stored(spark)
+    assert not os.path.exists(folder) and stored(spark.range(3).toDF("n"), "numbers").count() == 3
+
+
 def test_upsert_replaces_and_adds(spark, database):
     table = f"{database}.facts"
     first = spark.createDataFrame([("BRA", 2022, "X", 1.0), ("BRA", 2022, "X", 1.0), ("IND", 2022, "X", 2.0)], FACTS)
@@ -157,9 +164,8 @@ def test_gold_without_loans_and_ratings(spark, landed, database):
 
 
 def test_pipeline_over_files(spark, landed, tmp_path):
-    tables = bronze_tables(spark, landed)
-    for name in ("esg", "loans"):
-        write_csv(tables[name], str(tmp_path / f"{name}.csv"))
+    bronze = bronze_tables(spark, landed, skip_ratings=True)
+    assert write_bronze_files(bronze, str(tmp_path)) == {"esg": 8, "loans": 3}
     counts = run_gold_files(spark, str(tmp_path), str(tmp_path / "out"))
     assert counts["esg_lending_master"] == 4 and counts["aggregate_ratings"] == 0
     assert not (tmp_path / "out" / "aggregate_ratings.csv").exists()

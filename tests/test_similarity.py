@@ -59,6 +59,29 @@ def test_best_two_equal_a_full_scan(threshold):
     for _ in range(60):
         name = some_name(rng)
         scores = [weighted_ratio(prepare(name), c) for c in block.names]
-        assert all(s <= b for s, b in zip(scores, block.bounds(prepare(name))))
+        least, greatest = block.limits(prepare(name))
+        assert all(low <= s <= high for low, s, high in zip(least, scores, greatest))
         expected = sorted((-s, i) for i, s in enumerate(scores) if s >= threshold)[:2]
         assert [(-s, i) for s, i in block.best_two(name, threshold)] == expected
+
+
+def test_a_needed_score_changes_no_result_at_or_above_it():
+    rng = random.Random(9)
+    for _ in range(400):
+        a, b = prepare(some_name(rng)), prepare(some_name(rng))
+        score = weighted_ratio(a, b)
+        for needed in (score, score - 1, 85.0):
+            limited = weighted_ratio(a, b, needed)
+            assert limited == score if score >= needed else limited <= score
+
+
+def test_many_candidates_with_one_common_word():
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    candidates = ["republic of " + "".join(rng.choice(letters) for _ in range(rng.randint(4, 9))) for _ in range(300)]
+    candidates += ["".join(rng.choice(letters) for _ in range(5)) + " republic" for _ in range(300)]
+    block = Block(candidates)
+    for name in ["the very long name of one republic", "republic", "republic of abcdef", "old republic of xyzzy islands"]:
+        scores = [weighted_ratio(prepare(name), c) for c in block.names]
+        expected = sorted((-s, i) for i, s in enumerate(scores) if s >= 85)[:2]
+        assert [(-s, i) for s, i in block.best_two(name, 85)] == expected
