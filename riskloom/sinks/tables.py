@@ -66,6 +66,17 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def _touched_partitions(existing: DataFrame, incoming: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Rows of the partitions that ``incoming`` has rows for.
+
+    The range of the partition values prunes the scan, the semi-join keeps the partitions that are really touched.
+    """
+    for part in parts:
+        least, greatest = (incoming.agg(f(part).alias("bound")).scalar() for f in (F.min, F.max))
+        existing = existing.filter(F.col(part).between(least, greatest))
+    return existing.join(incoming.select(*parts).distinct(), list(parts), "left_semi")
+
+
 def _replace_rows(incoming: DataFrame, table: str, keys: Sequence[str]) -> None:
     """Upsert into a table format without row-level operations.
 
@@ -78,8 +89,7 @@ def _replace_rows(incoming: DataFrame, table: str, keys: Sequence[str]) -> None:
     parts = _partition_columns(spark, table)
     columns = existing.columns
     if parts and set(parts) <= set(keys):
-        touched = incoming.select(*parts).distinct()
-        existing = existing.join(touched, parts, "left_semi")
+        existing = _touched_partitions(existing, incoming, parts)
         rows = stored(merged(existing, incoming, keys), "upsert").select(*columns)
         with _dynamic_partitions(spark):
             # rebalancing brings a partition's rows together and splits a partition that is too large for one task
