@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskloom.functions.numeric import risk_bin, round_settled
 from riskloom.functions.significance import p_value
 from riskloom.operators.ranks import average_ranks
+from riskloom.session import stored
 from riskloom.vocabulary import MIN_PAIRED_ROWS, RISK_BINS, SCORE_COLUMNS, SIGNIFICANCE
 
 
@@ -32,10 +33,11 @@ def pearson(df: DataFrame, x: str = "esg_risk_score", y: str = "success_rate") -
 def spearman(df: DataFrame, x: str = "esg_risk_score", y: str = "success_rate") -> DataFrame:
     """Rank correlation with average ranks for ties.
 
-    Equal pairs are counted first, so that only distinct pairs and distinct values move, however often one occurs.
+    Equal pairs are counted and stored first, so that only distinct pairs and distinct values move, however often one
+    occurs, and the rows are read once.
     Both rank columns have the mean ``(n+1)/2``, which makes the correlation a weighted sum over distinct pairs.
     """
-    pairs = paired(df, x, y).groupBy("x", "y").agg(F.count("*").alias("weight"))
+    pairs = stored(paired(df, x, y).groupBy("x", "y").agg(F.count("*").alias("weight")), "pairs")
     ranked = pairs
     for column in ("x", "y"):
         ranks = average_ranks(pairs.groupBy(F.col(column).alias("v")).agg(F.sum("weight").alias("n")), "v", "n")

@@ -12,7 +12,7 @@ import math
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from riskloom.functions.text import clean_key, compare_text, literal_map
 from riskloom.operators.similarity import Block
@@ -73,12 +73,21 @@ def _block_ids(n: int) -> Column:
     return F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))
 
 
+_SCORED = T.StructType(
+    [T.StructField("name", T.StringType()), T.StructField("canonical", T.StringType()),
+     T.StructField("score", T.DoubleType()), T.StructField("runner_up", T.StringType()),
+     T.StructField("runner_up_score", T.DoubleType())]
+)
+
+
 def scored_matches(names: DataFrame, canonical: DataFrame, threshold: float = MATCH_THRESHOLD) -> DataFrame:
     """Best candidate and runner-up per name at or above ``threshold``; of equal scores the lower rank wins.
 
-    Both inputs are stored tables of distinct keys, so counting them reads file footers only.
+    Both inputs are stored tables of distinct keys, so counting them is cheap.
     """
     n_names, n_candidates = names.count(), canonical.count()
+    if n_names == 0 or n_candidates == 0:
+        return names.sparkSession.createDataFrame([], _SCORED)
     workers = names.sparkSession.sparkContext.defaultParallelism
     name_blocks = max(1, math.ceil(n_names / NAMES_PER_BLOCK), min(workers, math.ceil(n_names / 64)))
     candidate_blocks = max(1, math.ceil(n_candidates / CANDIDATES_PER_BLOCK))
@@ -125,7 +134,7 @@ def match_audit(
     ``names`` comes from :func:`distinct_names` and ``canonical`` from :func:`canonical_names`. With ``aliases`` a
     listed spelling is replaced before it is compared, which overrides the score.
     """
-    names, canonical = stored(names, "names"), stored(canonical, "canonical")
+    canonical = stored(canonical, "canonical")
     if aliases:
         alias = F.try_element_at(literal_map(aliases), F.col("name"))
         names = names.withColumn("aliased", alias.isNotNull()).withColumn(
@@ -137,8 +146,8 @@ def match_audit(
     first = canonical.filter(F.col("compared") != "").groupBy("compared").agg(
         F.min_by("canonical", "rank").alias("canonical")
     )
-    equal = names.join(first, "compared", "left")
-    rest = stored(equal.filter(F.col("canonical").isNull()).select("name", "compared"), "unequal-names")
+    equal = stored(names.join(first, "compared", "left"), "equal-names")
+    rest = equal.filter(F.col("canonical").isNull()).select("name", "compared")
     scored = scored_matches(rest, canonical, threshold)
 
     matched = equal.filter(F.col("canonical").isNotNull()).select(

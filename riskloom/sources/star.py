@@ -105,15 +105,17 @@ def line_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 def loans(spark: SparkSession, folder: str, grain: str = "nation", source: str | None = None) -> DataFrame:
     """Loans: one row per order; finished orders are one source, the others the second one."""
-    orders = table(spark, folder, "orders").select(
+    finished = F.col("o_orderstatus") == "F"
+    orders = table(spark, folder, "orders")
+    if source is not None:
+        orders = orders.filter(finished if source == "IBRD" else ~finished)
+    orders = orders.select(
         "o_orderkey",
         "o_custkey",
         fiscal_year(F.col("o_orderdate")).alias("fiscal_year"),
         F.col("o_totalprice").alias("commitment_amount"),
-        F.when(F.col("o_orderstatus") == "F", "IBRD").otherwise("IDA").alias("source"),
+        F.when(finished, "IBRD").otherwise("IDA").alias("source"),
     )
-    if source is not None:
-        orders = orders.filter(F.col("source") == source)
     lines = line_totals(spark, folder)
     funded = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     return funded.join(_customers(spark, folder, grain), F.col("o_custkey") == F.col("c_custkey")).select(
