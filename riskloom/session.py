@@ -64,12 +64,12 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make the package importable in the Python workers, once per application.
+    """Make the package importable in the Python workers of a local session, once per application.
 
-    Not needed where the package is installed on the executors.
+    On a cluster the package is installed on the executors or passed with ``--py-files``.
     """
     app = spark.sparkContext.applicationId
-    if app not in _SHIPPED:
+    if spark.sparkContext.master.startswith("local") and app not in _SHIPPED:
         package = Path(__file__).resolve().parent
         archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
         spark.sparkContext.addPyFile(archive)

@@ -53,9 +53,9 @@ def merged(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> Dat
 
 
 @contextmanager
-def _dynamic_partitions(spark: SparkSession):
+def _overwrite_mode(spark: SparkSession, mode: str):
     before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
+    spark.conf.set(_OVERWRITE_MODE, mode)
     try:
         yield
     finally:
@@ -81,21 +81,26 @@ def _replace_rows(incoming: DataFrame, table: str, keys: Sequence[str]) -> None:
     """Upsert into a table format without row-level operations.
 
     The merged rows are stored in the shared folder before the table is overwritten, so that the table is never read
-    and written at once and a failed overwrite can be repeated. If the table is partitioned by key columns, only the
-    partitions that receive rows are read and rewritten.
+    and written at once. Should the overwrite fail, the error says where they are. If the table is partitioned by
+    key columns, only the partitions that receive rows are read and rewritten.
     """
     spark = incoming.sparkSession
     existing = spark.table(table)
     parts = _partition_columns(spark, table)
     columns = existing.columns
-    if parts and set(parts) <= set(keys):
+    scoped = bool(parts) and set(parts) <= set(keys)
+    if scoped:
         existing = _touched_partitions(existing, incoming, parts)
-        rows = stored(merged(existing, incoming, keys), "upsert").select(*columns)
-        with _dynamic_partitions(spark):
-            # rebalancing brings a partition's rows together and splits a partition that is too large for one task
-            rows.hint("rebalance", *parts).write.insertInto(table, overwrite=True)
-    else:
-        stored(merged(existing, incoming, keys), "upsert").select(*columns).write.insertInto(table, overwrite=True)
+    rows = stored(merged(existing, incoming, keys), "upsert").select(*columns)
+    if parts:
+        # brings a partition's rows together and splits a partition that is too large for one task
+        rows = rows.hint("rebalance", *parts)
+    try:
+        with _overwrite_mode(spark, "dynamic" if scoped else "static"):
+            rows.write.insertInto(table, overwrite=True)
+    except Exception as error:
+        error.add_note(f"the merged rows of {table} are kept in {rows.inputFiles()[:1]}")
+        raise
 
 
 def upsert(
