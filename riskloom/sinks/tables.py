@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from riskloom.operators.dedup import one_per_key, split_null_keys
 from riskloom.session import stored
+from riskloom.sources.files import CSV_OPTIONS
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -136,7 +137,7 @@ def _on(table: str, keys: Sequence[str]):
 def write_csv(df: DataFrame, path: str) -> int:
     """CSV files with a header in the folder ``path``; the number of rows is counted on the way."""
     df, seen = counted(df)
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return seen.get["rows"]
 
 

@@ -3,7 +3,16 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+# the usual dialect: header line, quotes doubled inside quotes, blanks kept
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def read_table_file(
@@ -17,9 +26,10 @@ def read_table_file(
     try:
         if fmt != "csv":
             return spark.read.schema(schema).format(fmt).load(path)
-        header = spark.read.option("header", True).csv(path).columns
+        reader = spark.read.options(**CSV_OPTIONS)
+        header = reader.csv(path).columns
         as_text = T.StructType([T.StructField(name, T.StringType()) for name in header])
-        raw = spark.read.option("header", True).schema(as_text).csv(path)
+        raw = reader.schema(as_text).csv(path)
         return raw.select(
             *[raw[f"`{f.name}`"].try_cast(_via(f.dataType)).cast(f.dataType).alias(f.name)
               if f.name in header else _null(f) for f in schema.fields]
@@ -36,8 +46,6 @@ def _via(kind: T.DataType) -> T.DataType:
 
 
 def _null(field: T.StructField):
-    from pyspark.sql import functions as F
-
     return F.lit(None).cast(field.dataType).alias(field.name)
 
 

@@ -11,6 +11,7 @@ from riskloom.plans.gold import gold_tables, run_gold, run_gold_files
 from riskloom.session import release_stored, shared_folder, stored
 from riskloom.sinks.tables import ensure_table, overwrite, upsert, write_csv, write_csv_unless_empty
 from riskloom.sources.envelopes import parse_batches
+from riskloom.sources.files import read_table_file
 from riskloom.sources.feeds import normalise_loans
 from riskloom.streaming.refresh import refresh
 from riskloom.vocabulary import ANALYSIS_COLUMNS, LOAN_FIELDS, MASTER, _schema
@@ -116,10 +117,13 @@ def test_overwrite_replaces_rows_and_columns(spark, database):
 
 
 def test_csv(spark, tmp_path):
-    df = spark.createDataFrame([(1, "Korea, Rep."), (2, None)], "n int, s string")
-    assert write_csv(df, str(tmp_path / "a.csv")) == 2
-    assert values(spark.read.csv(str(tmp_path / "a.csv"), header=True, schema="n int, s string"), "n", "s") == {
-        (1, "Korea, Rep."), (2, None)}
+    rows = [(1, "Korea, Rep."), (2, None), (3, 'the "old" name'), (4, " padded ")]
+    df = spark.createDataFrame(rows, "n int, s string")
+    assert write_csv(df, str(tmp_path / "a.csv")) == 4
+    assert values(read_table_file(spark, str(tmp_path / "a.csv"), df.schema), "n", "s") == set(rows)
+    parts = [f for f in os.listdir(tmp_path / "a.csv") if f.endswith(".csv")]
+    text = "".join((tmp_path / "a.csv" / f).read_text() for f in parts)
+    assert '3,"the ""old"" name"' in text and "n,s" in text
     assert write_csv_unless_empty(df.limit(0), str(tmp_path / "b.csv")) == 0 and not (tmp_path / "b.csv").exists()
 
 

@@ -193,6 +193,13 @@ def test_csv_scan_matches_columns_by_name(spark, tmp_path):
     }
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
+def test_other_formats(spark, tmp_path, fmt):
+    loans = normalise_loans(raw_loans(spark), "IBRD")
+    loans.write.format(fmt).save(str(tmp_path / fmt))
+    assert sorted(read_table_file(spark, str(tmp_path / fmt), LOANS, fmt=fmt).collect()) == sorted(loans.collect())
+
+
 def test_missing_files(spark, tmp_path):
     path = str(tmp_path / "none.csv")
     assert read_table_file(spark, path, LOANS, optional=True).isEmpty()
