@@ -15,6 +15,8 @@ RECOMMENDED_CONF: dict[str, str] = {
     # split hot join keys at run time, even where that costs one more shuffle behind the join
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # what a compressed file may take in memory, for the size check before a broadcast
+    "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -25,14 +25,16 @@ def read_table_file(
     """
     try:
         if fmt != "csv":
-            return spark.read.schema(schema).format(fmt).load(path)
+            return without_nan(spark.read.schema(schema).format(fmt).load(path))
         reader = spark.read.options(**CSV_OPTIONS)
         header = reader.csv(path).columns
         as_text = T.StructType([T.StructField(name, T.StringType()) for name in header])
         raw = reader.schema(as_text).csv(path)
-        return raw.select(
-            *[raw[f"`{f.name}`"].try_cast(_via(f.dataType)).cast(f.dataType).alias(f.name)
-              if f.name in header else _null(f) for f in schema.fields]
+        return without_nan(
+            raw.select(
+                *[raw[f"`{f.name}`"].try_cast(_via(f.dataType)).try_cast(f.dataType).alias(f.name)
+                  if f.name in header else _null(f) for f in schema.fields]
+            )
         )
     except AnalysisException as error:
         if optional and error.getCondition() == "PATH_NOT_FOUND":
@@ -40,6 +42,12 @@ def read_table_file(
         raise
 
 
+def without_nan(df: DataFrame) -> DataFrame:
+    """Null instead of NaN: aggregates skip nulls but not NaN, which other writers use for a missing number."""
+    numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({n: F.when(~F.isnan(n), F.col(n)) for n in numbers}) if numbers else df
+
+
 def _via(kind: T.DataType) -> T.DataType:
     # whole numbers may be stored as "2022.0" when the column once held a missing value
     return T.DoubleType() if isinstance(kind, (T.IntegerType, T.LongType)) else kind
@@ -53,4 +61,4 @@ def read_managed(spark: SparkSession, table: str, schema: T.StructType, *, optio
     """Scan of a catalog table; an optional one that does not exist reads as empty."""
     if optional and not spark.catalog.tableExists(table):
         return spark.createDataFrame([], schema)
-    return spark.table(table)
+    return without_nan(spark.table(table))

@@ -193,6 +193,19 @@ def test_csv_scan_matches_columns_by_name(spark, tmp_path):
     }
 
 
+def test_nan_reads_as_null(spark, tmp_path, database):
+    df = spark.createDataFrame([(1, float("nan")), (2, 3.0)], "fiscal_year int, commitment_amount double")
+    df.write.parquet(str(tmp_path / "p"))
+    df.write.saveAsTable(f"{database}.loans")
+    (tmp_path / "c.csv").write_text("fiscal_year,commitment_amount\n1,NaN\n2,3.0\nNaN,1e400\n1e30,\n")
+    expected = {(1, None), (2, 3.0)}
+    columns = ("fiscal_year", "commitment_amount")
+    assert values(read_table_file(spark, str(tmp_path / "p"), df.schema, fmt="parquet"), *columns) == expected
+    assert values(read_managed(spark, f"{database}.loans", LOANS), *columns) == expected
+    got = values(read_table_file(spark, str(tmp_path / "c.csv"), LOANS), *columns)
+    assert got == expected | {(None, float("inf")), (None, None)}
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
 def test_other_formats(spark, tmp_path, fmt):
     loans = normalise_loans(raw_loans(spark), "IBRD")
