@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskloom.functions.numeric import risk_bin, round_settled
 from riskloom.functions.significance import p_value
 from riskloom.operators.ranks import average_ranks
-from riskloom.session import stored
+from riskloom.session import stored, together
 from riskloom.vocabulary import MIN_PAIRED_ROWS, RISK_BINS, SCORE_COLUMNS, SIGNIFICANCE
 
 
@@ -38,10 +38,13 @@ def spearman(df: DataFrame, x: str = "esg_risk_score", y: str = "success_rate")
     Both rank columns have the mean ``(n+1)/2``, which makes the correlation a weighted sum over distinct pairs.
     """
     pairs = stored(paired(df, x, y).groupBy("x", "y").agg(F.count("*").alias("weight")), "pairs")
-    ranked = pairs
-    for column in ("x", "y"):
-        ranks = average_ranks(pairs.groupBy(F.col(column).alias("v")).agg(F.sum("weight").alias("n")), "v", "n")
-        ranked = ranked.join(ranks.select(F.col("v").alias(column), F.col("rank").alias(f"rank_{column}")), column)
+
+    def ranks(column: str) -> DataFrame:
+        counts = pairs.groupBy(F.col(column).alias("v")).agg(F.sum("weight").alias("n"))
+        return average_ranks(counts, "v", "n").select(F.col("v").alias(column), F.col("rank").alias(f"rank_{column}"))
+
+    of_x, of_y = together(lambda: ranks("x"), lambda: ranks("y"))
+    ranked = pairs.join(of_x, "x").join(of_y, "y")
     n = pairs.agg(F.sum("weight").alias("n")).scalar()
     middle = (n + 1) / 2.0
     dx, dy = F.col("rank_x") - middle, F.col("rank_y") - middle

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from riskloom.functions.text import clean_key, compare_text, literal_map
 from riskloom.operators.similarity import Block
-from riskloom.session import stored
+from riskloom.session import stored, together
 from riskloom.vocabulary import MATCH_THRESHOLD
 
 NAMES_PER_BLOCK = 4096
@@ -134,7 +134,12 @@ def match_audit(
     ``names`` comes from :func:`distinct_names` and ``canonical`` from :func:`canonical_names`. With ``aliases`` a
     listed spelling is replaced before it is compared, which overrides the score.
     """
-    canonical = stored(canonical, "canonical")
+    return _audit(names, stored(canonical, "canonical"), threshold, aliases)
+
+
+def _audit(
+    names: DataFrame, canonical: DataFrame, threshold: float, aliases: Mapping[str, str] | None = None
+) -> DataFrame:
     if aliases:
         alias = F.try_element_at(literal_map(aliases), F.col("name"))
         names = names.withColumn("aliased", alias.isNotNull()).withColumn(
@@ -176,8 +181,10 @@ def spelling_keys(
 
     The table is stored: the rows it is joined to need no cleaning, and the planner sees whether it is small.
     """
-    spellings = stored(spellings, "spellings")
-    keys = match_audit(distinct_names(spellings), canonical, threshold).select(
+    spellings, canonical = together(
+        lambda: stored(spellings, "spellings"), lambda: stored(canonical, "canonical")
+    )
+    keys = _audit(distinct_names(spellings), canonical, threshold).select(
         "name", F.coalesce("canonical", "name").alias(output)
     )
     return stored(spellings.join(keys, "name").select("spelling", output), "spelling-keys")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from riskloom.operators.master import build_master
 from riskloom.operators.rollups import aggregate_loans, aggregate_ratings
 from riskloom.operators.scoring import aggregate_esg
-from riskloom.session import stored
+from riskloom.session import stored, together
 from riskloom.sinks.tables import overwrite, write_csv, write_csv_unless_empty
 from riskloom.sources.files import read_managed, read_table_file
 from riskloom.vocabulary import ESG, LOANS, RATINGS
@@ -17,9 +17,11 @@ def gold_tables(
     esg: DataFrame, loans: DataFrame, ratings: DataFrame, *, match: str = "scored"
 ) -> dict[str, DataFrame]:
     """The three roll-ups, stored because the master table reads them again, and the master table."""
-    scores = stored(aggregate_esg(esg), "aggregate_esg")
-    lending = stored(aggregate_loans(loans), "aggregate_loans")
-    success = stored(aggregate_ratings(ratings), "aggregate_ratings")
+    scores, lending, success = together(
+        lambda: stored(aggregate_esg(esg), "aggregate_esg"),
+        lambda: stored(aggregate_loans(loans), "aggregate_loans"),
+        lambda: stored(aggregate_ratings(ratings), "aggregate_ratings"),
+    )
     return {
         "aggregate_esg": scores,
         "aggregate_loans": lending,

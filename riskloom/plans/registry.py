@@ -35,7 +35,7 @@ from riskloom.operators.rollups import aggregate_loans, aggregate_ratings, lendi
 from riskloom.operators.scoring import normalise, pillar_scores
 from riskloom.operators.summary import country_summary
 from riskloom.plans.analysis import analysis_columns, enrich
-from riskloom.session import shared_folder, stored
+from riskloom.session import shared_folder, stored, together
 from riskloom.sinks.tables import merged, write_csv
 from riskloom.sources import star
 from riskloom.sources.envelopes import (
@@ -84,15 +84,15 @@ def _success(spark: SparkSession, folder: str, grain: str) -> DataFrame:
 def _master(spark: SparkSession, folder: str, grain: str = "customer", match: str = "equal") -> DataFrame:
     """Master table of customers (many entities, gaps in lending and success) or of nations.
 
-    A match by score reads the roll-ups twice, for their names and for their rows, so they are stored for it.
+    The roll-ups are stored as in the gold job; a match by score reads them twice, for their names and for their rows.
     """
-    scores = _scores(spark, folder, grain)
-    lending = _lending(spark, folder, grain, "IBRD" if grain == "customer" else None)
-    success = _success(spark, folder, grain)
-    if match == "scored":
-        scores, lending, success = (
-            stored(df, name) for df, name in ((scores, "scores"), (lending, "lending"), (success, "success"))
-        )
+    source = "IBRD" if grain == "customer" else None
+    rollups = (
+        lambda: _scores(spark, folder, grain),
+        lambda: _lending(spark, folder, grain, source),
+        lambda: _success(spark, folder, grain),
+    )
+    scores, lending, success = together(*[lambda f=f: stored(f(), "rollup") for f in rollups])
     return build_master(scores, lending, success, match=match)
 
 

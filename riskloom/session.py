@@ -5,8 +5,11 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 RECOMMENDED_CONF: dict[str, str] = {
@@ -56,6 +59,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def together(*jobs: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Results of independent jobs that are submitted at once, so that one fills the cores another leaves idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(job)) for job in jobs]]
+
+
 def release_stored(spark: SparkSession) -> None:
     """Delete the tables this application has stored. Frames that read them cannot be used any more."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stored_folder(spark))
