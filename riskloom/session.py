@@ -61,8 +61,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def together(*jobs: Callable[[], DataFrame]) -> list[DataFrame]:
     """Results of independent jobs that are submitted at once, so that one fills the cores another leaves idle."""
+    bound = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(len(jobs)) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(job)) for job in jobs]]
+        return [f.result() for f in [pool.submit(bound(job)) for job in jobs]]
 
 
 def release_stored(spark: SparkSession) -> None:
