@@ -79,6 +79,34 @@ def span_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
         return mix64((prefix[end] - prefix[start]) * _powers(pow(_BASE, -1, 1 << 64), len(prefix))[start])
 
 
+def window_hashes(prefix: np.ndarray, width: int) -> np.ndarray:
+    """64-bit hashes of the ``width`` bytes at every position, without the spreading of low bits; high bits are good."""
+    if len(prefix) <= width:
+        return np.zeros(0, np.uint64)
+    with np.errstate(over="ignore"):
+        out = prefix[width:] - prefix[:-width]
+        out *= _powers(pow(_BASE, -1, 1 << 64), len(prefix))[: len(out)]
+        out *= np.uint64(0xD6E8FEB86659FD93)
+    return out
+
+
+def column_hashes(rows: np.ndarray) -> np.ndarray:
+    """Prefix sums of equally long rows of bytes, one line per column; see :func:`column_window`."""
+    n, width = rows.shape
+    powers = _powers(_BASE, width)
+    out = np.zeros((width + 1, n), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(width):
+            np.add(out[k], (rows[:, k].astype(np.uint64) + np.uint64(1)) * powers[k], out=out[k + 1])
+    return out
+
+
+def column_window(sums: np.ndarray, start: int, end: int, rows: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """Hashes of the bytes [start, end) of rows; comparable for all starts."""
+    with np.errstate(over="ignore"):
+        return mix64((sums[end, rows] - sums[start, rows]) * _powers(pow(_BASE, -1, 1 << 64), start + 1)[start])
+
+
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: Word characters for content comparison: ASCII letters and digits and every byte of a non-ASCII character.
