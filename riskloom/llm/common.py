@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -38,9 +39,14 @@ def pieces(batches: Iterable[pa.RecordBatch], text: int, most: int = PIECE_BYTES
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of frames nobody refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark delete the shuffle files of frames nobody refers to any more.
+
+    Spark's cleaner works beside the driver, and some references go only after others are gone, hence the repetition.
+    """
+    for _ in range(3):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

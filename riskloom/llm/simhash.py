@@ -180,7 +180,6 @@ def _pairs(a: list[int], b: list[int]) -> pa.RecordBatch:
 
 def component_roots(edges: DataFrame) -> DataFrame:
     """(node, root) of every node that has a link; the root is the smallest node of its component."""
-    spark = edges.sparkSession
     ordered = edges.where("a != b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("low")).distinct()
     state = stored(ordered, "links")
     mark = None
@@ -197,12 +196,12 @@ def component_roots(edges: DataFrame) -> DataFrame:
         if now == mark:
             return state.select("node", F.col("low").alias("root"))
         mark = now
-        free_shuffles(spark)
 
 
 def simhash_components(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """One row per row of ``docs``: doc_id, fp long, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
     printed = stored(fingerprints(docs, shingle), "fingerprints")
+    free_shuffles(docs.sparkSession)
     values = stored(printed.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "values")
     roots = component_roots(links(values.select("fp"), radius))
     rooted = values.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
