@@ -1,6 +1,6 @@
 """Quality of documents by co-training a text view and a metadata view.
 
-The text view sees hashed words (each once per document) and style measures of the whole text; the metadata view sees
+The text view sees hashed words and beginnings of words (each once per document) and style measures of the whole text; the metadata view sees
 source, language and length class. Both are logistic regressions fitted on a sample of at most ``SAMPLE_ROWS`` labelled
 rows. Over ``ROUNDS`` rounds each view labels the rows of an unlabelled pool (also at most SAMPLE_ROWS) about which it is
 most confident, and the other view learns from them. On labelled rows kept apart, both views are calibrated and combined
@@ -22,10 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import ALNUM, SPACE, arrow_map, pieces, words_of
+from riskloom.llm.common import ALNUM, SPACE, arrow_map, pieces, prefix_hashes, span_hashes, words_of
 
 SAMPLE_ROWS = 8000
-WORD_BUCKETS = 1 << 15
+WORD_BUCKETS = 1 << 20
+#: Bytes of the beginnings of words that count as features beside the words.
+PREFIXES = (3, 5)
+#: How far from chance a word bucket must be on the fitted labels to take part.
+LEAST_Z, LEAST_ROWS = 4.0, 4
 STYLES = 10
 META_BUCKETS = 1 << 10
 ROUNDS = 3
@@ -38,10 +42,16 @@ _SYMBOL = ~(ALNUM | SPACE)
 
 
 def text_view(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, word bucket) pairs, each once, and a matrix of style measures."""
+    """(row, bucket) pairs of words and their beginnings, each once, and a matrix of style measures."""
     raw = [t.encode() for t in texts]
-    _, start, end, which, words = words_of([t.lower() for t in raw], ALNUM)
-    pairs = np.unique(which.astype(np.int64) * WORD_BUCKETS + (words % np.uint64(WORD_BUCKETS)).astype(np.int64))
+    lowered, start, end, which, words = words_of([t.lower() for t in raw], ALNUM)
+    sums, owner, kinds = prefix_hashes(lowered), [which], [words]
+    for length in PREFIXES:
+        longer = end - start > length
+        owner.append(which[longer])
+        kinds.append(span_hashes(sums, start[longer], start[longer] + length) ^ np.uint64(length))
+    bucket = (np.concatenate(kinds) % np.uint64(WORD_BUCKETS)).astype(np.int64)
+    pairs = np.unique(np.concatenate(owner).astype(np.int64) * WORD_BUCKETS + bucket)
     n = len(raw)
     data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
     begin = np.concatenate([[0], np.cumsum([len(t) + 1 for t in raw])[:-1]])
@@ -76,7 +86,7 @@ def meta_view(sources: list, langs: list, sizes: list) -> np.ndarray:
 
 
 def logistic(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, dim: int, y: np.ndarray, weight: np.ndarray,
-             steps: int = 120, ridge: float = 1e-4) -> np.ndarray:
+             steps: int = 200, ridge: float = 1e-5) -> np.ndarray:
     """Weights (last: intercept) of a weighted logistic regression over sparse rows, by adaptive gradient steps."""
     w, speed = np.zeros(dim + 1), np.zeros(dim + 1)
     total = max(weight.sum(), 1e-9)
@@ -112,11 +122,22 @@ class Model:
         return squash(text), squash(meta), squash(self.mix[0] * text + self.mix[1] * meta + self.mix[2])
 
 
-def _entries(rows: np.ndarray, words: np.ndarray, style: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def telling_words(rows: np.ndarray, words: np.ndarray, label: np.ndarray, fitted: np.ndarray) -> np.ndarray:
+    """Word buckets whose share among good and bad fitted rows differs by more than chance."""
+    bad = fitted & (label < 0.5)
+    seen = [np.bincount(words[mask[rows]], minlength=WORD_BUCKETS) for mask in (bad, fitted & ~bad)]
+    sizes = [max(int(bad.sum()), 1), max(int((fitted & ~bad).sum()), 1)]
+    share = (seen[0] + seen[1]) / sum(sizes)
+    spread = np.sqrt(share * (1 - share) * (1 / sizes[0] + 1 / sizes[1])) + 1e-12
+    z = np.abs(seen[0] / sizes[0] - seen[1] / sizes[1]) / spread
+    return np.flatnonzero((z >= LEAST_Z) & (seen[0] + seen[1] >= LEAST_ROWS))
+
+
+def _entries(rows: np.ndarray, words: np.ndarray, style: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(style)
     return (
         np.concatenate([rows, np.repeat(np.arange(n), STYLES)]),
-        np.concatenate([words, np.tile(np.arange(WORD_BUCKETS, WORD_BUCKETS + STYLES), n)]),
+        np.concatenate([words, np.tile(np.arange(first, first + STYLES), n)]),
         np.concatenate([np.ones(len(rows)), style.ravel()]),
     )
 
@@ -130,12 +151,16 @@ def co_train(rows: np.ndarray, words: np.ndarray, style: np.ndarray, meta: np.nd
         empty.prior = good
         return empty
     centre, scale = style.mean(0), style.std(0) + 1e-6
-    text = _entries(rows, words, ((style - centre) / scale).clip(-5, 5))
-    side = (np.repeat(np.arange(len(meta)), 4), meta.ravel(), np.ones(meta.size))
     apart = known & (np.arange(len(label)) % 5 == 0)
+    chosen = telling_words(rows, words, label, known & ~apart)
+    place = np.full(WORD_BUCKETS, -1)
+    place[chosen] = np.arange(len(chosen))
+    used = place[words] >= 0
+    text = _entries(rows[used], place[words[used]], ((style - centre) / scale).clip(-5, 5), len(chosen))
+    side = (np.repeat(np.arange(len(meta)), 4), meta.ravel(), np.ones(meta.size))
     weights = [(known & ~apart).astype(float) for _ in range(2)]
     targets = [np.where(known, label, 0.0) for _ in range(2)]
-    views = [(text, WORD_BUCKETS + STYLES), (side, META_BUCKETS)]
+    views = [(text, len(chosen) + STYLES), (side, META_BUCKETS)]
     models: list[np.ndarray] = []
     for turn in range(ROUNDS + 1):
         models = [logistic(*view, dim, y, w) for (view, dim), y, w in zip(views, targets, weights)]
@@ -147,10 +172,12 @@ def co_train(rows: np.ndarray, words: np.ndarray, style: np.ndarray, meta: np.nd
             p = 1 / (1 + np.exp(-z.clip(-30, 30)))
             sure = np.maximum(p, 1 - p)
             free = np.flatnonzero(~known & (weights[other] == 0) & (sure >= CONFIDENT))
-            chosen = free[np.argsort(-sure[free], kind="stable")][: int(SHARE * (~known).sum())]
-            weights[other][chosen] = 0.5
-            targets[other][chosen] = (p[chosen] > 0.5).astype(float)
-    out = Model(models[0], centre, scale, models[1], np.zeros(3))
+            surest = free[np.argsort(-sure[free], kind="stable")][: int(SHARE * (~known).sum())]
+            weights[other][surest] = 0.5
+            targets[other][surest] = (p[surest] > 0.5).astype(float)
+    whole = np.zeros(WORD_BUCKETS + STYLES + 1)
+    whole[chosen], whole[WORD_BUCKETS:] = models[0][: len(chosen)], models[0][len(chosen) :]
+    out = Model(whole, centre, scale, models[1], np.zeros(3))
     logits = np.stack(out.logits(rows, words, style, meta), axis=1)[apart]
     n = len(logits)
     mix = logistic(np.repeat(np.arange(n), 2), np.tile([0, 1], n), logits.ravel(), 2, label[apart], np.ones(n), 400, 1e-3)
