@@ -25,7 +25,9 @@ from riskloom.llm.common import arrow_map, pieces
 
 SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 #: Different words whose ids a worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
+#: Signs that end a token after a letter and before white space.
+ENDING = re.compile(r"(?<=[a-z])([.,!?;:]+)(?=[ \t\n\r]|$)")
 
 
 class BestFit:
@@ -68,7 +70,10 @@ class BestFit:
 
 
 class WordIds:
-    """Ids of texts by a tokenizer whose tokens never cross white space; each different word is encoded once."""
+    """Ids of texts by a lower-casing tokenizer whose tokens never cross white space or join letters with signs.
+
+    Each different word is encoded once in a worker.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -82,7 +87,9 @@ class WordIds:
         if len(known) > CACHE_WORDS:
             known.clear()
             known[""] = []
-        split = [re.sub(r"[\t\n\r]", " ", t).split(" ") for t in texts]
+        # the two letters whose lower case depends on the library stay as they are
+        lowered = [t if "\u0130" in t or "\u03a3" in t else t.lower() for t in texts]
+        split = [ENDING.sub(r" \1", t).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in lowered]
         new = list({w for words in split for w in words}.difference(known))
         for k in range(0, len(new), 10_000):
             part = new[k : k + 10_000]
@@ -95,6 +102,16 @@ class WordIds:
             yield np.array(ids, "<u4")
 
 
+_ENCODERS: dict[str, WordIds] = {}
+
+
+def encoder(path: str) -> WordIds:
+    """The encoder of this worker, kept from task to task."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordIds(path)
+    return _ENCODERS[path]
+
+
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, open_bins: int = 512) -> DataFrame:
     """One row per piece of every document, see ``SCHEMA``. sequence_id is unique over all tasks."""
 
@@ -102,7 +119,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, open_bins:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode, bins = WordIds(tokenizer_path), BestFit(capacity, open_bins)
+        encode, bins = encoder(tokenizer_path), BestFit(capacity, open_bins)
         first = TaskContext.get().partitionId() << 36
         for ids, texts in pieces(batches, 1):
             rows = []

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import ALNUM, SPACE, arrow_map, pieces, prefix_hashes, span_hashes, words_of
 
-SAMPLE_ROWS = 8000
+SAMPLE_ROWS = 6000
 WORD_BUCKETS = 1 << 20
 #: Bytes of the beginnings of words that count as features beside the words.
 PREFIXES = (3, 5)
