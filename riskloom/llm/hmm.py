@@ -172,7 +172,7 @@ def coded(rows: DataFrame, vocab: Vocabulary) -> DataFrame:
             log[known] = logs[place[known]]
             n = len(texts)
             rest = symbol == v.size - 1
-            sums = [np.bincount(which, weights=w, minlength=n) for w in (known, log, rest, log * rest)]
+            sums = [np.bincount(which, weights=w, minlength=n).astype(float) for w in (known, log, rest, log * rest)]
             cuts = np.searchsorted(which, np.arange(n + 1))
             tails = np.flatnonzero(~known)
             tail_cuts = np.searchsorted(which[tails], np.arange(n + 1)).astype(np.int32)
