@@ -4,18 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-DATE_FORMATS = ("MM/dd/yyyy", "dd-MMM-yyyy")
-
-
-def to_date(value: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
-    """Date of a text in ISO form or one of ``formats``; text that is no date becomes null.
+#: Shapes of dates and how they are read. A text is parsed in the form of its shape only.
+DATE_FORMATS = (
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{8}$", "yyyyMMdd"),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{2}$", "d-MMM-yy"),
+    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
+    (r"^[A-Za-z]{4,} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2} [A-Za-z]{4,} \d{4}$", "d MMMM yyyy"),
+)
+ISO = r"^[+-]?\d{4,}(-\d{1,2}){0,2}([T ].*)?$"
+CLOCK = r"[T ]\d{1,2}:\d{2}.*$"
+
+
+def to_date(value: Column, formats: tuple[tuple[str, str], ...] = DATE_FORMATS) -> Column:
+    """Date of a text in ISO form or one of ``formats``, with or without a time; text that is no date becomes null.
 
     ISO text goes through the zone-free timestamp so that the result does not depend on the session's time zone.
     """
-    text = value.cast("string")
-    tries = [text.try_cast(T.TimestampNTZType()).cast("date")]
-    tries += [F.try_to_date(text, f) for f in formats]
-    return F.coalesce(*tries)
+    text = F.trim(value.cast("string"))
+    day = F.regexp_replace(text, CLOCK, "")
+    result = F.when(text.rlike(ISO) & ~text.rlike(r"^\d{8}$"), text.try_cast(T.TimestampNTZType()).cast("date"))
+    for shape, form in formats:
+        result = result.when(day.rlike(shape), F.try_to_date(day, form))
+    return result
 
 
 def fiscal_year(date: Column, first_month: int = 7) -> Column:

@@ -22,14 +22,18 @@ def round_settled(value: Column, digits: int) -> Column:
     return round_half_even(round_half_even(value, 9), digits)
 
 
+#: Shape of a number. Text of any other shape is not cast at all, which spares an exception per row.
+NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf(inity)?))\s*$"
+
+
 def to_double(value: Column) -> Column:
     """Parse a number; text that is no number, and NaN, become null."""
-    number = value.try_cast("double")
+    number = F.when(value.cast("string").rlike(NUMBER), value.try_cast("double"))
     return F.when(~F.isnan(number), number)
 
 
 def to_int(value: Column) -> Column:
-    return value.try_cast("int")
+    return F.when(value.cast("string").rlike(NUMBER), value.try_cast("int"))
 
 
 def flag(condition: Column) -> Column:

@@ -84,7 +84,7 @@ def compare_text(key: Column) -> Column:
 
 def year_in_text(value: Column) -> Column:
     """First run of four digits as a number."""
-    return F.regexp_extract(value.cast("string"), r"([0-9]{4})", 1).try_cast("int")
+    return F.nullif(F.regexp_extract(value.cast("string"), r"([0-9]{4})", 1), F.lit("")).cast("int")
 
 
 def is_success(outcome: Column) -> Column:

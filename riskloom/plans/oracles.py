@@ -112,8 +112,7 @@ def base(grain: str) -> str:
 
 
 def master(grain: str = "customer") -> str:
-    where = "source = 'IBRD'" if grain == "customer" else "TRUE"
-    return ",\n".join([base(grain), LOANS, lending(where), RATINGS[grain], SUCCESS, MASTER])
+    return ",\n".join([base(grain), LOANS, lending(), RATINGS[grain], SUCCESS, MASTER])
 
 
 EXPOSED = f"""exposed AS (
@@ -291,17 +290,20 @@ add(
   FROM orders)""",
     norm("facts"),
 )
+ALIASED = """CASE lower(country) WHEN 'nation_0' THEN 'nation_5' WHEN 'nation_1' THEN 'nation_5'
+  WHEN 'nation_2' THEN 'nation_7' ELSE lower(country) END"""
+
 add("country_scores", "SELECT * FROM scores", base("nation"))
 add("customer_scores", "SELECT * FROM scores", base("customer"))
 add("success_rates", "SELECT * FROM success", COUNTRIES, RATINGS["nation"], SUCCESS)
 add(
     "lending_on_key",
-    f"SELECT left(country, 8) AS join_key, fiscal_year, {SUMMED_AMOUNTS} FROM lending GROUP BY 1, 2",
+    f"SELECT {ALIASED} AS join_key, fiscal_year, {SUMMED_AMOUNTS} FROM lending GROUP BY 1, 2",
     OWNERS["nation"], LOANS, lending(),
 )
 add(
     "success_on_key",
-    f"""SELECT left(country, 8) AS join_key, year, CAST(sum(projects_evaluated) AS BIGINT) AS projects_evaluated,
+    f"""SELECT {ALIASED} AS join_key, year, CAST(sum(projects_evaluated) AS BIGINT) AS projects_evaluated,
   {rs('sum(success_rate * projects_evaluated) / sum(projects_evaluated)', 1)} AS success_rate
 FROM success GROUP BY 1, 2""",
     COUNTRIES, RATINGS["nation"], SUCCESS,

@@ -86,10 +86,9 @@ def _master(spark: SparkSession, folder: str, grain: str = "customer", match: st
 
     The roll-ups are stored as in the gold job; a match by score reads them twice, for their names and for their rows.
     """
-    source = "IBRD" if grain == "customer" else None
     rollups = (
         lambda: _scores(spark, folder, grain),
-        lambda: _lending(spark, folder, grain, source),
+        lambda: _lending(spark, folder, grain),
         lambda: _success(spark, folder, grain),
     )
     scores, lending, success = together(*[lambda f=f: stored(f(), "rollup") for f in rollups])
@@ -318,13 +317,13 @@ def success_rates(spark, folder):
 
 @query
 def lending_on_key(spark, folder):
-    lending = _lending(spark, folder, "nation").withColumn("join_key", F.substring("country", 1, 8))
+    lending = _lending(spark, folder, "nation").withColumn("join_key", alias_key(F.col("country"), NATION_ALIASES))
     return _rounded(lending_by_key(lending), 2, "lending_amount", "commitment_amount", "disbursement_amount")
 
 
 @query
 def success_on_key(spark, folder):
-    success = _success(spark, folder, "nation").withColumn("join_key", F.substring("country", 1, 8))
+    success = _success(spark, folder, "nation").withColumn("join_key", alias_key(F.col("country"), NATION_ALIASES))
     return success_by_key(success)
 
 

@@ -25,8 +25,8 @@ def _field(node: str, path: str, kind: str = "string") -> Column:
 
 
 def _rows_of_pair_pages(pages: DataFrame, page: str, *keep: str) -> DataFrame:
-    """One variant ``row`` per element of the second array entry; pages without rows vanish."""
-    parsed = pages.select(*keep, F.try_parse_json(page).alias("parsed"))
+    """One variant ``row`` per element of the second array entry; pages without rows give none, a page that is no JSON raises."""
+    parsed = pages.select(*keep, F.parse_json(page).alias("parsed"))
     return parsed.select(*keep, F.explode(F.expr("try_variant_get(parsed, '$[1]', 'array<variant>')")).alias("row"))
 
 
@@ -71,8 +71,8 @@ def pair_page_completeness(pages: DataFrame, page: str = "page", indicator: str
 
 
 def parse_batches(pages: DataFrame, row_schema: T.StructType, page: str = "page") -> DataFrame:
-    """Rows of batch pages with the columns of ``row_schema``."""
-    batch = F.from_json(F.col(page), _batch_schema(row_schema))
+    """Rows of batch pages with the columns of ``row_schema``; a page that is no JSON raises."""
+    batch = F.from_json(F.col(page), _batch_schema(row_schema), {"mode": "FAILFAST"})
     return pages.select(F.inline(batch["data"]))
 
 

@@ -29,7 +29,8 @@ def read_table_file(
         reader = spark.read.options(**CSV_OPTIONS)
         header = reader.csv(path).columns
         as_text = T.StructType([T.StructField(name, T.StringType()) for name in header])
-        raw = reader.schema(as_text).csv(path)
+        # the header is checked file by file: a file with its columns in another order raises instead of mixing them up
+        raw = reader.option("enforceSchema", False).schema(as_text).csv(path)
         return without_nan(
             raw.select(
                 *[raw[f"`{f.name}`"].try_cast(_via(f.dataType)).try_cast(f.dataType).alias(f.name)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
@@ -34,6 +34,7 @@ def first_non_empty(
             df = read_batches(spark, candidate) if isinstance(candidate, str) else candidate
             if not df.isEmpty():
                 return df
-        except PySparkException:
-            continue
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
     return spark.createDataFrame([], schema)

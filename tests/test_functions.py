@@ -152,3 +152,22 @@ def test_p_value_with_two_degrees_of_freedom_is_closed_form():
 
 def test_p_value_needs_three_rows():
     assert correlation_p(0.5, 2) is None and correlation_p(None, 9) is None
+
+
+def test_date_forms(spark):
+    from pyspark.sql import functions as F
+
+    from riskloom.functions.dates import to_date
+
+    forms = ["3/5/2022", "5-Mar-2022", "5-Mar-22", "03/05/2022 12:00:00 AM", "Mar 5, 2022", "20220305", "2022/03/05", "5 March 2022"]
+    got = [str(r[0]) for r in spark.createDataFrame([(f,) for f in forms], "v string").select(to_date(F.col("v"))).collect()]
+    assert got == ["2022-03-05"] * 2 + ["2022-03-05"] * 6
+
+
+def test_java_number_suffix_is_no_number(spark):
+    from pyspark.sql import functions as F
+
+    from riskloom.functions.numeric import to_double
+
+    df = spark.createDataFrame([("10d",), ("1f",), ("1.5",), ("-2e3",), ("x",)], "v string")
+    assert [r[0] for r in df.select(to_double(F.col("v"))).collect()] == [None, None, 1.5, -2000.0, None]

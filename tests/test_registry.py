@@ -29,8 +29,8 @@ def test_query_equals_its_sql(spark, connection, name):
     assert not [word for word in FORBIDDEN if word in plan]
 
 
-def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+def test_every_query_of_the_reference_has_sql():
+    assert set(REGISTRY) <= set(entry.oracle_sql())
 
 
 def test_flagship_query(spark):

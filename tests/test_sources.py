@@ -80,11 +80,17 @@ def test_observations_without_value_are_dropped(spark):
     assert dict(rows.dtypes)["year"] == "int" and dict(rows.dtypes)["value"] == "double"
 
 
-@pytest.mark.parametrize("page", ['[{"page": 1, "pages": 1}, null]', '[{"message": "bad code"}]', "{}", "not json"])
+@pytest.mark.parametrize("page", ['[{"page": 1, "pages": 1}, null]', '[{"message": "bad code"}]', "{}"])
 def test_pages_without_rows(spark, page):
     assert parse_observations(pages_of(spark, page)).isEmpty()
 
 
+@pytest.mark.parametrize("page", ["not json", '[{"page": 1, "pages": 1}, [{"value"'])
+def test_damaged_page_raises(spark, page):
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        parse_observations(pages_of(spark, page)).collect()
+
+
 def test_two_pages_give_all_rows_and_count_as_complete(spark):
     one = observation_page(1, 2, ("BRA", "Brazil", "2022", 0.5))
     two = observation_page(2, 2, ("IND", "India", "2022", 0.2))
