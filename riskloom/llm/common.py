@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import time
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.session import ship_package
@@ -21,20 +24,36 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def arrow_map(df: DataFrame, func: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``df.mapInArrow``; the Python worker gives back what a task has freed before it waits for the next one."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(func, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from func(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Return freed memory of this process to the system; allocators otherwise keep it for later."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only some C libraries have it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def pieces(batches: Iterable[pa.RecordBatch], text: int, most: int = PIECE_BYTES) -> Iterator[list[list]]:
     """Columns of the rows as lists, cut so that column ``text`` holds about ``most`` characters; null texts become ''."""
     for batch in batches:
+        sizes = pc.fill_null(pc.utf8_length(batch.column(text)), 0).to_pylist()
         start = size = 0
-        values = [x or "" for x in batch.column(text).to_pylist()]
-        for i, value in enumerate(values):
-            size += len(value)
-            if size >= most or i == len(values) - 1:
+        for i, more in enumerate(sizes):
+            size += more
+            if size >= most or i == len(sizes) - 1:
                 part = batch.slice(start, i + 1 - start)
-                yield [values[start : i + 1] if k == text else c.to_pylist() for k, c in enumerate(part.columns)]
+                yield [[x or "" for x in c.to_pylist()] if k == text else c.to_pylist() for k, c in enumerate(part.columns)]
                 start, size = i + 1, 0
 
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,10 +25,11 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import arrow_map, pieces
 
 SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-#: Different words whose ids a worker remembers.
-CACHE_WORDS = 1_000_000
+#: Different words whose ids a worker remembers for sure; words not met for that many others are forgotten.
+CACHE_WORDS = 200_000
 #: Signs that end a token after a letter and before white space.
 ENDING = re.compile(r"(?<=[a-z])([.,!?;:]+)(?=[ \t\n\r]|$)")
+END = bytes(4)
 
 
 class BestFit:
@@ -80,26 +82,32 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, list[int]] = {"": []}
+        # ids as little-endian bytes: the words met last, and those met before them
+        self.known: dict[str, bytes] = {"": b""}
+        self.before: dict[str, bytes] = {}
+
+    def _learn(self, words: set[str]) -> None:
+        known, before = self.known, self.before
+        new = []
+        for word in words.difference(known):
+            if (ids := before.get(word)) is None:
+                new.append(word)
+            else:
+                known[word] = ids
+        for k in range(0, len(new), 1000):
+            part = new[k : k + 1000]
+            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                known[word] = array("I", e.ids).tobytes()
 
     def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-            known[""] = []
-        # the two letters whose lower case depends on the library stay as they are
-        lowered = [t if "\u0130" in t or "\u03a3" in t else t.lower() for t in texts]
-        split = [ENDING.sub(r" \1", t).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in lowered]
-        new = list({w for words in split for w in words}.difference(known))
-        for k in range(0, len(new), 10_000):
-            part = new[k : k + 10_000]
-            known.update((w, e.ids) for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)))
-        for words in split:
-            ids: list[int] = []
-            for word in words:
-                ids += known[word]
-            ids.append(0)
-            yield np.array(ids, "<u4")
+        if len(self.known) > CACHE_WORDS:
+            self.before, self.known = self.known, {"": b""}
+        for text in texts:
+            # the two letters whose lower case depends on the library stay as they are
+            lowered = text if "\u0130" in text or "\u03a3" in text else text.lower()
+            words = ENDING.sub(r" \1", lowered).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            self._learn(set(words))
+            yield np.frombuffer(b"".join([*map(self.known.__getitem__, words), END]), "<u4")
 
 
 _ENCODERS: dict[str, WordIds] = {}
