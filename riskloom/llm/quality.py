@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import ALNUM, SPACE, arrow_map, pieces, prefix_hashes, span_hashes, words_of
+from riskloom.llm.common import ALNUM, SPACE, arrow_map, give_back, pieces, prefix_hashes, span_hashes, words_of
 
 SAMPLE_ROWS = 6000
 WORD_BUCKETS = 1 << 20
@@ -153,7 +153,7 @@ def co_train(rows: np.ndarray, words: np.ndarray, style: np.ndarray, meta: np.nd
     centre, scale = style.mean(0), style.std(0) + 1e-6
     apart = known & (np.arange(len(label)) % 5 == 0)
     chosen = telling_words(rows, words, label, known & ~apart)
-    place = np.full(WORD_BUCKETS, -1)
+    place = np.full(WORD_BUCKETS, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
     used = place[words] >= 0
     text = _entries(rows[used], place[words[used]], ((style - centre) / scale).clip(-5, 5), len(chosen))
@@ -220,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     table = arrow_map(rows, features, "words array<int>, style array<double>, meta array<int>, good double").toArrow()
     lists = table.column("words").combine_chunks()
-    words = np.asarray(lists.flatten(), np.int64)
+    words = np.asarray(lists.flatten(), np.int32)
     sizes = np.asarray(lists.value_lengths(), np.int64) if len(lists) else np.zeros(0, np.int64)
     label = np.array([np.nan if x is None else x for x in table.column("good").to_pylist()], float)
     style = np.array(table.column("style").to_pylist(), float).reshape(-1, STYLES)
@@ -230,8 +230,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     rows_of = place[np.repeat(np.arange(len(sizes)), sizes)]
-    by_row = np.argsort(rows_of, kind="stable")
-    return co_train(rows_of[by_row], words[by_row], style[order], meta[order], label[order])
+    by_row = np.argsort(rows_of, kind="stable").astype(np.int32)
+    rows_of, words = rows_of[by_row].astype(np.int32), words[by_row]
+    del table, lists, by_row
+    give_back()
+    return co_train(rows_of, words, style[order], meta[order], label[order])
 
 
 def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
