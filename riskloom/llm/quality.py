@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import ALNUM, SPACE, arrow_map, give_back, pieces, prefix_hashes, span_hashes, words_of
 
 SAMPLE_ROWS = 6000
+#: Bound of labelled and other rows together; some room, so that chance alone never makes it choose among rows.
+POOLED_ROWS = SAMPLE_ROWS * 11 // 5
 WORD_BUCKETS = 1 << 20
 #: Bytes of the beginnings of words that count as features beside the words.
 PREFIXES = (3, 5)
@@ -202,11 +204,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     good = ((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) != 1)).cast("double")
     chosen = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), good.alias("good")
-    ).where(rank < int(share * (1 << 30)) + 1).groupBy("doc_id").agg(F.avg("good").alias("good")).limit(SAMPLE_ROWS)
+    ).where(rank < int(share * (1 << 30)) + 1).groupBy("doc_id").agg(F.avg("good").alias("good")).orderBy(rank, "doc_id").limit(SAMPLE_ROWS)
     pool = min(1.0, SAMPLE_ROWS / max(docs.count(), 1))
     rows = _inputs(docs).join(F.broadcast(chosen), "doc_id", "left").where(
         F.col("good").isNotNull() | (rank < int(pool * (1 << 30)) + 1)
-    ).select(*COLUMNS, "good").limit(2 * SAMPLE_ROWS)
+    ).select(*COLUMNS, "good").limit(POOLED_ROWS)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts, sources, langs, sizes, good in pieces(batches, 1):
