@@ -228,7 +228,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     style = np.array(table.column("style").to_pylist(), float).reshape(-1, STYLES)
     meta = np.array(table.column("meta").to_pylist(), np.int64).reshape(-1, 4)
     # rows come in any order: sort them, so that a fit can be repeated
-    order = np.lexsort((style[:, 8], style[:, 6], style[:, 7])) if len(style) else np.zeros(0, np.int64)
+    content = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=words, minlength=len(sizes))
+    order = np.lexsort((label, *meta.T, content, *style.T)) if len(style) else np.zeros(0, np.int64)
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     rows_of = place[np.repeat(np.arange(len(sizes)), sizes)]
