@@ -224,7 +224,9 @@ def keep_first(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     later = ids.where("component_id < doc_id").select("doc_id")
     repeated = stored(ids.where("rows > 1 and component_id = doc_id").select("doc_id"), "repeated-ids")
     key = F.col("doc_id").cast("long")
-    kept = docs.join(later.unionAll(repeated).withColumnRenamed("doc_id", "_drop"), key == F.col("_drop"), "left_anti")
+    # the dropped ids grow with the documents: one plan at every size, never a broadcast
+    gone = later.unionAll(repeated).withColumnRenamed("doc_id", "_drop").hint("merge")
+    kept = docs.join(gone, key == F.col("_drop"), "left_anti")
     if repeated.isEmpty():
         return kept
     order = Window.partitionBy(key).orderBy(*[F.col(c) for c in docs.columns if c == "text"])
