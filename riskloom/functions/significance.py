@@ -13,7 +13,10 @@ from pyspark.sql import Column, functions as F, types as T
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function, evaluated from the front with the modified Lentz method."""
+    """Continued fraction of the incomplete beta function, evaluated from the front with the modified Lentz method.
+
+    NaN if it has not settled within the terms allowed.
+    """
     tiny = 1e-300
     front, c, d = 1.0, 1.0, 1.0 - (a + b) * x / (a + 1.0)
     d = 1.0 / (d if abs(d) > tiny else tiny)
@@ -28,8 +31,8 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
             c = c if abs(c) > tiny else tiny
             front *= d * c
         if abs(d * c - 1.0) < 1e-15:
-            break
-    return front
+            return front
+    return math.nan
 
 
 def _log_beta_half(a: float) -> float:
@@ -42,7 +45,7 @@ def _log_beta_half(a: float) -> float:
 def correlation_p(r: float, n: float) -> float | None:
     """p-value of ``t = r * sqrt((n-2) / (1-r^2))`` with ``n-2`` degrees of freedom.
 
-    It is the regularised incomplete beta function ``I(1-r^2; (n-2)/2, 1/2)``.
+    It is the regularised incomplete beta function ``I(1-r^2; (n-2)/2, 1/2)``, and None where its series does not settle.
     """
     if r is None or n is None or r != r or n < 3:
         return None
@@ -52,8 +55,10 @@ def correlation_p(r: float, n: float) -> float | None:
     a, b = (n - 2) / 2.0, 0.5
     scale = math.exp(a * math.log1p(-far) + b * math.log(far) - _log_beta_half(a))
     if near < (a + 1.0) / (a + b + 2.0):
-        return scale * _beta_fraction(a, b, near) / a
-    return 1.0 - scale * _beta_fraction(b, a, far) / b
+        p = scale * _beta_fraction(a, b, near) / a
+    else:
+        p = 1.0 - scale * _beta_fraction(b, a, far) / b
+    return None if p != p else p
 
 
 @F.pandas_udf(T.DoubleType())

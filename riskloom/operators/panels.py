@@ -62,10 +62,14 @@ def top_risk_panel(rows: DataFrame, k: int = 20) -> DataFrame:
 
 
 def _labelled(rows: DataFrame, by: str, k: int) -> DataFrame:
-    """Mark the ``k`` rows of the greatest ``by``; the marks are at most ``k`` rows, so they are broadcast."""
-    top = _top(rows.dropna(subset=[by]), by, k).select("country", "iso3", "year", F.lit(1).alias("label"))
-    marked = rows.join(F.broadcast(top), ["country", "iso3", "year"], "left")
-    return marked.withColumn("label", F.coalesce("label", F.lit(0)))
+    """Mark the ``k`` rows of the greatest ``by``, ties by ``TIES``; rows equal in all of these are marked alike.
+
+    Each row is compared with the last marked one, a single value, so rows are neither joined nor multiplied.
+    """
+    present = F.col(by).isNotNull() & ~F.isnan(by)
+    place = F.struct((-F.col(by)).alias("by"), *TIES)
+    last = _top(rows.filter(present), by, k).agg(F.max(place).alias("last")).scalar()
+    return rows.withColumn("label", F.coalesce((present & (place <= last)).cast("int"), F.lit(0)))
 
 
 def pillar_scatter_panel(rows: DataFrame, k: int = 4) -> DataFrame:

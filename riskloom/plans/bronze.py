@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from riskloom.operators.rollups import total
 from riskloom.sinks.tables import Written, upsert, write_csv
-from riskloom.sources.envelopes import parse_countries, parse_observations, read_pages
+from riskloom.sources.envelopes import pair_page_completeness, parse_countries, parse_observations, read_pages
 from riskloom.sources.feeds import esg_bronze, loans_bronze, normalise_ratings
 from riskloom.sources.resolve import first_non_empty
 from riskloom.vocabulary import BRONZE_KEYS, RATINGS
@@ -27,12 +27,24 @@ class Landed:
     ratings: Sequence[str] = ()
 
 
+def require_pages(pages: DataFrame) -> DataFrame:
+    """``pages`` if as many pages as announced have landed for each ``indicator``; raises otherwise."""
+    gaps = pair_page_completeness(pages).filter(~F.col("complete"))
+    if gap := gaps.orderBy("indicator").first():
+        raise ValueError(
+            f"{gap.pages_landed} of {gap.pages_announced} pages of {gap.indicator} have landed, at least this one is incomplete"
+        )
+    return pages
+
+
 def bronze_tables(
     spark: SparkSession, landed: Landed, start: int | None = None, end: int | None = None, skip_ratings: bool = False
 ) -> dict[str, DataFrame]:
-    """The bronze tables as frames; the ratings are left out when skipped or empty."""
-    countries = parse_countries(read_pages(spark, landed.countries))
-    pages = spark.read.text(landed.indicators, wholetext=True).withColumnRenamed("value", "page")
+    """The bronze tables as frames; the ratings are left out when skipped or empty. Missing indicator or country pages raise."""
+    countries = parse_countries(
+        require_pages(read_pages(spark, landed.countries).withColumn("indicator", F.lit("countries")))
+    )
+    pages = require_pages(spark.read.text(landed.indicators, wholetext=True).withColumnRenamed("value", "page"))
     tables = {"esg": esg_bronze(parse_observations(pages), countries, start, end)}
     feeds = {source: first_non_empty(paths, spark, _NOTHING) for source, paths in landed.loans.items()}
     if feeds:

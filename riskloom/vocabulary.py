@@ -29,9 +29,7 @@ INDICATORS: dict[str, tuple[str, str, int]] = {
 
 PILLARS = ("environmental", "social", "governance")
 
-# --- fixed values: feed names of the two lending sources and the outcome words that count as success -----------------
-
-LENDING_SOURCES = ("IBRD", "IDA")
+# --- fixed values: the outcome words that count as success -----------------------------------------------------------
 
 SUCCESS_OUTCOMES = ("highly satisfactory", "satisfactory", "moderately satisfactory")
 

@@ -139,6 +139,12 @@ def test_bronze_tables(spark, landed):
     assert set(bronze_tables(spark, landed, skip_ratings=True)) == {"esg", "loans"}
 
 
+def test_a_missing_page_raises(spark, landed):
+    put(f"{landed.indicators}/indicator=SI.POV.GINI/1.json", observation_page(1, 2, ("BRA", "Brazil", "2022", 50.0)))
+    with pytest.raises(ValueError, match="1 of 2 pages of SI.POV.GINI"):
+        bronze_tables(spark, landed)
+
+
 def test_whole_pipeline_over_tables(spark, landed, database):
     for _ in range(2):  # a second run changes nothing
         written = run_bronze(spark, landed, database)

@@ -402,6 +402,16 @@ def test_ranked_tables(spark):
     assert [tuple(r) for r in panels.top_gap(rows).collect()] == [("C", 96.0, 4.0, 4.0)]
 
 
+def test_labels_neither_multiply_nor_lose_rows(spark):
+    rows = spark.createDataFrame(
+        [("A", None, 2020, 9.0), ("B", "BBB", 2020, 8.0), ("B", "BBB", 2020, 8.0), ("C", "CCC", 2020, 7.0),
+         ("D", "DDD", 2020, None), ("E", "EEE", 2020, float("nan"))],
+        "country string, iso3 string, year int, score double")
+    got = [(r.country, r.label) for r in panels._labelled(rows, "score", 2).orderBy("country").collect()]
+    assert got == [("A", 1), ("B", 1), ("B", 1), ("C", 0), ("D", 0), ("E", 0)]
+    assert {r.label for r in panels._labelled(rows.filter("score is null"), "score", 2).collect()} == {0}
+
+
 def test_panels(spark):
     rows = enriched(spark)
     got = panels.dashboard_panels(rows)
