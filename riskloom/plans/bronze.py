@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from riskloom.operators.rollups import total
-from riskloom.sinks.tables import Written, upsert, write_csv
+from riskloom.sinks.tables import Written, overwrite, upsert, write_csv
 from riskloom.sources.envelopes import pair_page_completeness, parse_countries, parse_observations, read_pages
 from riskloom.sources.feeds import esg_bronze, loans_bronze, normalise_ratings
 from riskloom.sources.resolve import first_non_empty
@@ -71,7 +71,10 @@ def loans_per_source(loans: DataFrame) -> DataFrame:
 def write_bronze(
     tables: Mapping[str, DataFrame], database: str, fmt: str = "parquet", loan_keys: Sequence[str] | None = None
 ) -> dict[str, Written]:
-    """Upsert the bronze tables into ``database`` on their keys; loans without any id on country, year and source."""
+    """Upsert the bronze tables into ``database`` on their keys; loans without any id on country, year and source.
+
+    Rows set aside for a missing key are kept in ``<table>_quarantine``, which holds those of the latest run.
+    """
     written = {"esg": upsert(tables["esg"], f"{database}.esg", BRONZE_KEYS["esg"], fmt=fmt, partition_by=["year"])}
     if "loans" in tables:
         loans = tables["loans"]
@@ -89,6 +92,10 @@ def write_bronze(
             BRONZE_KEYS["ratings"],
             fmt=fmt,
         )
+    for name, result in written.items():
+        aside = f"{database}.{name}_quarantine"
+        if not result.quarantine.isEmpty() or result.quarantine.sparkSession.catalog.tableExists(aside):
+            overwrite(result.quarantine, aside, fmt)
     return written
 
 

@@ -31,7 +31,8 @@ def refresh(
     """Upsert the rows that ``parse`` finds in the new pages under ``landed``; returns the number of batches.
 
     ``parse`` gets a frame with one ``page`` and its ``path`` per row. With ``order`` the latest of several rows of
-    one key in a batch is the greatest by these columns.
+    one key in a batch is the greatest by these columns. Rows that lack a key are added to ``<table>_quarantine``; a
+    batch that is run again after a failure adds them again.
     """
     pages = (
         spark.readStream.format("text")
@@ -45,7 +46,9 @@ def refresh(
     batches = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert(parse(batch), table, keys, fmt=fmt, partition_by=partition_by, order=order)
+        aside = upsert(parse(batch), table, keys, fmt=fmt, partition_by=partition_by, order=order).quarantine
+        if not aside.isEmpty():
+            aside.write.format(fmt).mode("append").saveAsTable(f"{table}_quarantine")
         batches.append(batch_id)
 
     run = (

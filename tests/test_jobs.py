@@ -145,6 +145,18 @@ def test_a_missing_page_raises(spark, landed):
         bronze_tables(spark, landed)
 
 
+def test_rows_without_a_key_are_kept(spark, landed, database):
+    put(f"{landed.loans['IDA'][0]}/1.json", json.dumps({"count": 2, "data": [
+        loan("C1", "India", "2022-08-01", 30.0), loan(None, "Chad", "2022-08-01", 7.0)]}))
+    for _ in range(2):
+        assert run_bronze(spark, landed, database)["loans"].rows == 3
+        assert values(spark.table(f"{database}.loans_quarantine"), "country", "commitment_amount") == {("Chad", 7.0)}
+        assert spark.table(f"{database}.loans_quarantine").count() == 1
+    put(f"{landed.loans['IDA'][0]}/1.json", json.dumps({"count": 1, "data": [loan("C1", "India", "2022-08-01", 30.0)]}))
+    run_bronze(spark, landed, database)
+    assert spark.table(f"{database}.loans_quarantine").isEmpty()
+
+
 def test_whole_pipeline_over_tables(spark, landed, database):
     for _ in range(2):  # a second run changes nothing
         written = run_bronze(spark, landed, database)
@@ -211,9 +223,11 @@ def test_refresh_takes_new_pages_only(spark, landed, database, tmp_path):
     arguments = (spark, folder, str(tmp_path / "progress"), f"{database}.loans", ["loan_id"], parse)
     assert refresh(*arguments) == 1 and spark.table(f"{database}.loans").count() == 2
     assert refresh(*arguments) == 0
-    put(f"{folder}/2.json", json.dumps({"count": 2, "data": [
-        loan("L2", "Brazil", "2022-01-10", 75.0), loan("L9", "Chad", "2023-09-01", 5.0)]}))
+    put(f"{folder}/2.json", json.dumps({"count": 3, "data": [
+        loan("L2", "Brazil", "2022-01-10", 75.0), loan("L9", "Chad", "2023-09-01", 5.0),
+        loan(None, "Mali", "2023-09-01", 6.0)]}))
     assert refresh(*arguments) == 1
     assert values(spark.table(f"{database}.loans"), "loan_id", "fiscal_year", "commitment_amount") == {
         ("L1", 2022, 100.0), ("L2", 2022, 75.0), ("L9", 2024, 5.0)}
+    assert values(spark.table(f"{database}.loans_quarantine"), "country") == {("Mali",)}
     assert spark.table(f"{database}.loans").filter(F.col("source") != "IBRD").isEmpty()
