@@ -7,8 +7,10 @@ ancestors. Decoding chooses the likeliest roles of the whole page that don't con
 any role, content may hold content and boilerplate, boilerplate holds only boilerplate.
 
 The trees are fitted on a sample of at most ``SAMPLE_PAGES`` pages whose markup tells the roles itself (pages with an
-article or main element); the sample only fits the trees, every page is read whole. Without such pages a node is
-content unless its tokens say otherwise.
+article or main element or the role main), each also in copies that lack this markup (``COPIES``), so that the trees know
+content by more than the tags that gave the labels; the sample only fits the trees, every page is read whole. Without
+such pages, and on a page without this markup in which the trees find no text, a node is content unless its tokens say
+otherwise.
 
 Null or empty pages give an empty text; markup without elements is one text; repeated rows give repeated results; an
 empty table gives an empty result. Columns other than page_id, url and html are not read.
@@ -74,7 +76,10 @@ class Node:
 def _tokens(tag: str, attributes: str) -> frozenset:
     found = {f"tag:{tag}"}
     for m in ATTR.finditer(attributes):
-        found.update(TOKEN.findall((m[2] or m[3] or m[4] or "").lower()))
+        words = TOKEN.findall((m[2] or m[3] or m[4] or "").lower())
+        found.update(words)
+        if m[1].lower() == "role":
+            found.update(f"role:{w}" for w in words)
     return frozenset(found)
 
 
@@ -182,9 +187,14 @@ def parse(html: str) -> list[Node]:
     return nodes
 
 
-GROUPS = {
+def tells(node: Node) -> bool:
+    """Whether the markup itself says that the node is content."""
+    return node.tag in CONTENT_TAGS or "role:main" in node.tokens
+
+
+GROUPS = {  # content: what ``tells`` says
     "p": {"p", "blockquote", "pre"}, "heading": {"h1", "h2", "h3", "h4", "h5", "h6"}, "list": {"ul", "ol", "li", "dl", "dt", "dd"},
-    "content": CONTENT_TAGS, "table": {"table", "tr", "td", "th", "tbody", "thead"}, "box": {"div", "section"},
+    "content": set(), "table": {"table", "tr", "td", "th", "tbody", "thead"}, "box": {"div", "section"},
     "outer": {"", "html", "body"}, "head": HEAD, "header": {"header"},
 }
 
@@ -203,6 +213,7 @@ def features(nodes: list[Node]) -> np.ndarray:
                 own[i] += len(part)
                 texts[i] += 1
         kind[i] = [node.tag in g for g in GROUPS.values()]
+        kind[i, 3] = tells(node)
         boiler[i] = bool(node.tokens & BOILER_TOKENS or node.tag in BOILER_TOKENS)
     total, all_links, paragraphs = own.copy(), links.copy(), kind[:, 0].copy()
     parent = np.array([node.parent for node in nodes])
@@ -221,7 +232,7 @@ def features(nodes: list[Node]) -> np.ndarray:
         np.log1p(own), np.log1p(total), np.log1p(links), all_links / (tags + all_links), total / (tags + all_links),
         np.log1p(tags), np.log1p(paragraphs), [node.depth for node in nodes], child, child / np.maximum(siblings, 1), siblings,
         [node.children for node in nodes], np.arange(n) / n, total / max(total[0], 1), boiler, above_boiler, above_content,
-        above_head, kind, kind[up], all_links[up] / (tags[up] + all_links[up]),
+        above_head, kind, kind[up], all_links[up] / (tags[up] + all_links[up]), np.full(n, kind[:, 3].any()),
     ])
 
 
@@ -229,7 +240,7 @@ def weak_roles(nodes: list[Node]) -> np.ndarray | None:
     """Roles that the markup itself tells, or None."""
     holds = [False] * len(nodes)
     for i, node in enumerate(nodes):
-        if node.tag in CONTENT_TAGS or "role" in node.tokens and "main" in node.tokens:
+        if tells(node):
             k = node.parent
             while k >= 0 and not holds[k]:
                 holds[k] = True
@@ -241,13 +252,53 @@ def weak_roles(nodes: list[Node]) -> np.ndarray | None:
         above = roles[node.parent] if i else FRAME
         if above == BOILERPLATE or node.tag in HEAD or node.tokens & BOILER_TOKENS or node.tag in BOILER_TOKENS:
             roles[i] = BOILERPLATE
-        elif above == CONTENT or node.tag in CONTENT_TAGS:
+        elif above == CONTENT or tells(node):
             roles[i] = CONTENT
         elif not holds[i]:
             roles[i] = BOILERPLATE
     return roles
 
 
+#: Copies of a page without the markup that tells its roles: elements in place of the outermost content element, whether
+#: boilerplate stays, and whether it keeps its tags and tokens.
+COPIES = ((("div",), True, True), (("table", "tr", "td"), True, True), (("div",), True, False), ((), True, True), ((), False, True))
+
+
+def unmarked(nodes: list[Node], roles: np.ndarray, instead: tuple, others: bool, named: bool) -> tuple[list[Node], np.ndarray]:
+    """One copy of a page with the roles of its nodes; an element that takes over the text of a content element is content."""
+    out, kept = [Node("", frozenset(), -1, 0, 0, parts=nodes[0].parts)], [roles[0]]
+    place = {0: 0}
+
+    def add(tag: str, tokens: frozenset, parent: int, role: int, parts: list) -> int:
+        above = out[parent]
+        out.append(Node(tag, tokens, parent, above.depth + 1, above.children, parts=parts))
+        kept.append(role)
+        above.children += 1
+        return len(out) - 1
+
+    for i, node in enumerate(nodes[1:], 1):
+        at = place.get(node.parent)
+        if at is None or not others and roles[i] == BOILERPLATE and node.tag not in HEAD:
+            continue
+        tag, tokens = node.tag, node.tokens
+        if tells(node):
+            if roles[i] == CONTENT and roles[node.parent] == FRAME:
+                for k, box in enumerate(instead, 1):
+                    last = k == len(instead)
+                    at = add(box, frozenset(), at, CONTENT if last else FRAME, node.parts if last else [])
+                if not instead:
+                    out[at].parts = out[at].parts + node.parts
+                    if any(part and part.strip() for _, part in node.parts):
+                        kept[at] = CONTENT
+                place[i] = at
+                continue
+            tag, tokens = "div", tokens - {"role:main"}
+        if not named and roles[i] == BOILERPLATE and tag not in HEAD:
+            tag, tokens = "div" if tag in BOILER_TOKENS else tag, frozenset()
+        place[i] = add(tag, tokens, at, roles[i], node.parts)
+    return out, np.array(kept)
+
+
 @dataclass
 class Trees:
     """Boosted regression trees, one sequence per role; node k of a tree has children 2k+1 and 2k+2."""
@@ -331,8 +382,11 @@ def decode(nodes: list[Node], logs: np.ndarray) -> np.ndarray:
 
 
 def text_of(nodes: list[Node], roles: np.ndarray) -> str:
-    """Own text of the content nodes by place in the page; blocks are trimmed and joined by one space."""
-    parts = [p for node, role in zip(nodes, roles) if role == CONTENT for p in node.parts if p[1] is not LINK]
+    """Own text of the content nodes by place in the page; blocks are trimmed and joined by one space, also within a frame."""
+    parts = [
+        p for node, role in zip(nodes, roles) if role != BOILERPLATE for p in node.parts
+        if p[1] is None or role == CONTENT and p[1] is not LINK
+    ]
     parts.sort(key=lambda p: p[0])
     return SPACES.sub(" ", "".join(" " if part is None else part for _, part in parts)).strip()
 
@@ -358,7 +412,10 @@ def extract(pages: list[str], trees: Trees | None) -> list[str]:
         if len(nodes) == 1:
             out.append(text_of(nodes, np.array([CONTENT])))
         else:
-            out.append(text_of(nodes, decode(nodes, log)))
+            text = text_of(nodes, decode(nodes, log))
+            if not text and not any(map(tells, nodes)):
+                text = text_of(nodes, decode(nodes, rule_logs(nodes)))
+            out.append(text)
     return out
 
 
@@ -367,8 +424,9 @@ def fit(pages: list[str]) -> Trees | None:
     for page in pages:
         nodes = parse(page)
         if (roles := weak_roles(nodes)) is not None:
-            xs.append(features(nodes))
-            ys.append(roles)
+            for some, told in [(nodes, roles), *(unmarked(nodes, roles, *copy) for copy in COPIES)]:
+                xs.append(features(some))
+                ys.append(told)
     return boost(np.concatenate(xs), np.concatenate(ys)) if xs else None
 
 

@@ -68,6 +68,26 @@ def test_pages_equal_their_article(spark):
         assert r.text == re.sub(r"\s+", " ", unescape(plain)).strip() and r.n_chars == len(r.text)
 
 
+@pytest.mark.parametrize("start, end", [
+    ("<div class=post>", "</div>"), ("<div>", "</div>"), ("<div role=main>", "</div>"), ("<table><tr><td>", "</td></tr></table>"), ("", ""),
+])
+def test_pages_without_article_keep_their_text(spark, start, end):
+    rows = [r.html for r in spark.read.parquet(f"{FOLDER}/pages.parquet").orderBy("page_id").collect()]
+    half = len(rows) // 2
+    trees = html.fit(rows[:half])
+    other = [h.replace("<article>", start).replace("</article>", end) for h in rows[half:]]
+    assert html.extract(other, trees) == html.extract(rows[half:], trees)
+    body = ["<html><body><p>One two</p><p>Three four</p></body></html>", "<p>One two<p>Three four", "<div>One two<br>Three four</div>"]
+    assert html.extract(body, trees) == ["One two Three four"] * 3
+
+
+def test_role_main_counts_as_markup():
+    page = "<body><div class=x>Top</div><div role=main><p>One</p><div class=ad>Buy</div></div></body>"
+    nodes = html.parse(page)
+    assert html.text_of(nodes, html.weak_roles(nodes)) == "One"
+    assert html.weak_roles(html.parse("<body><div class='role main'><p>One</p></div></body>")) is None
+
+
 def test_decoding_contradicts_nothing():
     nodes = html.parse(PAGE)
     roles = html.decode(nodes, np.log(np.random.default_rng(1).dirichlet([1, 1, 1], len(nodes))))
