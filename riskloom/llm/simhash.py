@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import arrow_map, free_shuffles, groups, pieces
@@ -52,15 +52,17 @@ def majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp long) of every row."""
+def fingerprints(docs: DataFrame, shingle: int = 4, row: str | None = None) -> DataFrame:
+    """(doc_id, fp long) of every row, and its key if ``row`` names the column."""
+    names = ["doc_id", "fp", "row"] if row else ["doc_id", "fp"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in pieces(batches, 1):
+        for ids, texts, *keys in pieces(batches, 1):
             fps = np.array([majority(fingerprint_of(t, shingle)) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(fps)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(fps), *[pa.array(k, pa.int64()) for k in keys]], names)
 
-    return arrow_map(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, fp long")
+    columns = [F.col("doc_id").cast("long"), F.col("text").cast("string"), *([F.col(row)] if row else [])]
+    return arrow_map(docs.select(*columns), run, ", ".join(f"{n} long" for n in names))
 
 
 class BkTree:
@@ -215,20 +217,21 @@ def simhash_components(docs: DataFrame, shingle: int = 4, radius: int = 4) -> Da
 
 
 def keep_first(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates, the one with the smallest doc_id.
+    """``docs`` with one row of each group of near duplicates, the one with the smallest doc_id.
 
-    Rows without doc_id are kept. Rows that share a doc_id count as one document; the one with the least text stays.
+    Rows are told apart by a key of their own, so a repeated doc_id neither joins nor splits a group; among rows with the
+    same smallest doc_id the first stays. Rows without doc_id are compared only with each other: one of each group stays.
     """
-    parts = stored(simhash_components(docs, shingle, radius).where("doc_id is not null").select("doc_id", "component_id"), "components")
-    ids = parts.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows"))
-    later = ids.where("component_id < doc_id").select("doc_id")
-    repeated = stored(ids.where("rows > 1 and component_id = doc_id").select("doc_id"), "repeated-ids")
-    key = F.col("doc_id").cast("long")
-    # the dropped ids grow with the documents: one plan at every size, never a broadcast
-    gone = later.unionAll(repeated).withColumnRenamed("doc_id", "_drop").hint("merge")
-    kept = docs.join(gone, key == F.col("_drop"), "left_anti")
-    if repeated.isEmpty():
-        return kept
-    order = Window.partitionBy(key).orderBy(*[F.col(c) for c in docs.columns if c == "text"])
-    again = docs.join(repeated.withColumnRenamed("doc_id", "_keep"), key == F.col("_keep"), "left_semi")
-    return kept.unionAll(again.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank"))
+    row = "_row"
+    while row in {c.lower() for c in docs.columns}:
+        row += "_"
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    printed = stored(fingerprints(rows, shingle, row), "fingerprints")
+    free_shuffles(docs.sparkSession)
+    first = F.min(F.struct("doc_id", "row")).alias("first")
+    values = stored(printed.groupBy("fp", F.col("doc_id").isNull().alias("no_id")).agg(first), "values")
+    roots = component_roots(links(values.select("fp").distinct(), radius))
+    rooted = values.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(F.coalesce("root", "fp").alias("root"), "no_id", "first")
+    kept = rooted.groupBy("root", "no_id").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+    # the kept rows grow with the documents: one plan at every size, never a broadcast
+    return rows.join(stored(kept, "kept").hint("merge"), row, "left_semi").select(*docs.columns)

@@ -135,6 +135,18 @@ def test_odd_rows_and_empty_tables(spark, odd_rows, name):
     assert run(odd_rows.limit(0)).count() == 0
 
 
+def test_keep_first_goes_by_row(spark):
+    """Rows that share a doc_id but not their text are different documents; copies without doc_id go but one."""
+    text = {k: " ".join(f"{k}{i}" for i in range(60)) for k in "abcdef"}
+    rows = [(7, text["a"]), (7, text["b"]), (7, text["c"]), (7, text["c"]), (3, text["c"]), (9, text["d"]), (9, text["d"]),
+            *[(None, text["e"])] * 5, (None, text["f"]), (1, text["f"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_row", F.lit("own"))
+    kept = simhash.keep_first(df.repartition(3))
+    assert kept.columns == df.columns and {r._row for r in kept.collect()} == {"own"}
+    got = sorted((r.doc_id or 0, r.text[0]) for r in kept.collect())
+    assert got == [(0, "e"), (0, "f"), (1, "f"), (3, "c"), (7, "a"), (7, "b"), (9, "d")]
+
+
 def test_pipeline(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_classifier", "near_duplicates", "benchmark_decontamination", "personal_data", "sequences"]
