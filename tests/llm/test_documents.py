@@ -272,3 +272,33 @@ def test_battery_tells_random_strings_from_words(spark):
     df = spark.createDataFrame([(w,) for w in random + word], "b string").select(secrets.randomness(F.col("b")).alias("p"))
     p = [r.p for r in df.collect()]
     assert np.median(p[:60]) > 0.2 and max(p[60:]) < 0.05
+
+
+def test_secrets_of_small_tables_and_of_letters_alone(spark):
+    rng = np.random.default_rng(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+    def found(abc):
+        keys = ["".join(rng.choice(list(abc), 40)) for _ in range(40)]
+        rows = [(k, f"the key is {v} here") for k, v in enumerate(keys)]
+        rows += [(k, w) for k, w in enumerate(["incomprehensibilities", "one-word-after-another-in-a-row", "getTheNameOfTheNextElement"], 100)]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        n = {r.doc_id: r.n_random for r in secrets.secret_digest(df).collect()}
+        assert not n[100] and not n[101] and not n[102]
+        return sum(n[k] for k in range(40))
+
+    assert found(letters) >= 30 and found(letters + "0123456789") >= 30 and found("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") >= 30
+
+
+def test_ordinary_words_set_the_bars(spark):
+    """Random strings among words of one table are found, the words are not; the runs themselves are no measure."""
+    rng = np.random.default_rng(10)
+    word = ["".join(rng.choice(list("etaoinshrdlu"), rng.integers(2, 9))) for _ in range(3000)]
+    rows = [(k, " ".join(rng.choice(word, 60)) + ".") for k in range(3200)]
+    rows += [(k, "x " + "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"), 40)) + " y") for k in range(4000, 4020)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    scan = secrets.scanned(df).cache()
+    assert scan.selectExpr("sum(size(plain))").first()[0] > 3 * secrets.LEAST_PLAIN
+    assert secrets.bars(scan)[5, "alnum", True] < 0.2
+    n = {r.doc_id: r.n_random for r in secrets.secret_digest(df).collect()}
+    assert sum(n[k] for k in range(4000, 4020)) >= 14 and not any(n[k] for k in range(3200))
