@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import ann, decontam, hmm, html, packing, pii, quality, secrets, simhash, suffixes
+from riskloom.llm import ann, decontam, divergence, hmm, html, merkle, packing, pii, quality, secrets, simhash, suffixes
 from riskloom.llm.common import table
+from riskloom.llm.oracles import LLM_ORACLES as LLM_ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +61,14 @@ def op10_secret_battery(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_digest(table(spark, folder, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest_digest(table(spark, folder, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -77,7 +86,7 @@ LLM_REGISTRY: dict[str, Query] = {
     "op8_one_bit_neighbours": op8_one_bit_neighbours,
     "op9_page_text": op9_page_text,
     "op10_secret_battery": op10_secret_battery,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_source_divergence": op13_source_divergence,
     "pipeline": pipeline,
 }
-
-LLM_ORACLES: dict[str, str] = {}
