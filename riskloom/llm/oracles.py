@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from riskloom.llm.licences import Index
+
 #: Levels the SQL unrolls: enough for 8^8 documents of a language and 8^3 languages.
 _LEVELS, _TOP_LEVELS = 8, 3
 
@@ -92,4 +94,47 @@ SELECT * FROM (SELECT lang, source, 'term' AS part, item, value,
   row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank FROM terms) WHERE rank <= 200
 """
 
-LLM_ORACLES: dict[str, str] = {"op11_merkle_manifest": MERKLE, "op13_source_divergence": DIVERGENCE}
+
+def _licences() -> str:
+    """The scan of licence notices; the lists of fixed words and their weights are the operator's own."""
+    index = Index()
+    words = ", ".join(f"({t}, '{index.labels[t]}', {q}, '{index.words[w]}', {index.weight[w]}, {len(ws)}, {index.weight[ws].sum()})"
+                      for t, ws in enumerate(index.templates) for q, w in enumerate(ws.tolist()))
+    rare = ", ".join(f"({t}, {q}, '{index.words[w]}')" for t, q, w in index.postings)
+
+    def listed(phrase) -> str:
+        return "[" + ", ".join(f"'{index.words[w]}'" for w in phrase.tolist()) + "]"
+
+    phrases = ", ".join(f"({t}, {listed(p)}, {len(p)})" for t, ps in enumerate(index.phrases) for p in ps)
+    base = ", ".join(f"({listed(p)}, {len(p)}, '{label}')" for p, label in index.base)
+    return f"""
+WITH doc AS (SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+tword(t, label, q, w, weight, len, total) AS (VALUES {words}),
+rare(t, q, w) AS (VALUES {rare}),
+phrase(t, p, len) AS (VALUES {phrases}),
+base(p, len, label) AS (VALUES {base}),
+word AS (SELECT d, w, pos FROM (SELECT d, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS pos FROM doc) WHERE w IN (SELECT w FROM tword)),
+based AS (SELECT d, pos, label FROM word JOIN base ON w = p[1] JOIN doc USING (d) WHERE ws[pos + 1 : pos + base.len] = p),
+proposal AS (SELECT DISTINCT d, t, pos - q + shift AS place FROM word JOIN rare USING (w) CROSS JOIN range(-2, 3) s(shift)),
+covered AS (SELECT d, t, place, label, len, total, sum(weight) AS weight FROM (
+    SELECT DISTINCT c.d, c.t, c.place, x.label, x.q, x.len, x.total, x.weight FROM proposal c JOIN tword x ON x.t = c.t
+    JOIN word o ON o.d = c.d AND o.w = x.w AND o.pos BETWEEN c.place + x.q - 2 AND c.place + x.q + 2) GROUP BY ALL
+  HAVING sum(weight) * 1000 >= total * 600),
+stands AS (SELECT d, t, p, pos, phrase.len AS plen FROM word JOIN phrase ON w = p[1] JOIN doc USING (d) WHERE ws[pos + 1 : pos + phrase.len] = p),
+verified AS (SELECT c.d, c.t, c.place, label, weight / total AS score FROM covered c JOIN phrase f ON f.t = c.t
+  LEFT JOIN stands s ON s.d = c.d AND s.t = c.t AND s.p = f.p AND s.pos >= c.place - 2 AND s.pos + s.plen <= c.place + c.len + 2
+  GROUP BY c.d, c.t, c.place, label, weight, total HAVING count(DISTINCT f.p) = count(DISTINCT s.p)),
+b AS (SELECT d, count(*) AS n, min(pos)::BIGINT AS lo, max(pos)::BIGINT AS hi FROM based GROUP BY d),
+bl AS (SELECT d, string_agg(label, ',' ORDER BY label) AS l FROM (SELECT DISTINCT d, label FROM based) GROUP BY d),
+al AS (SELECT d, string_agg(label, ',' ORDER BY label) AS l FROM (SELECT d, label FROM based UNION SELECT d, label FROM verified) GROUP BY d),
+sc AS (SELECT d, max(score) AS score FROM verified GROUP BY d)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, lo AS first_word, hi AS last_word,
+  coalesce(bl.l, '') AS base_labels, coalesce(al.l, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM doc LEFT JOIN b USING (d) LEFT JOIN bl USING (d) LEFT JOIN al USING (d) LEFT JOIN sc USING (d)
+"""
+
+
+LLM_ORACLES: dict[str, str] = {
+    "op11_merkle_manifest": MERKLE, "op12_licence_index": _licences(), "op13_source_divergence": DIVERGENCE,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import ann, decontam, divergence, hmm, html, merkle, packing, pii, quality, secrets, simhash, suffixes
+from riskloom.llm import ann, decontam, divergence, hmm, html, licences, merkle, packing, pii, quality, secrets, simhash, suffixes
 from riskloom.llm.common import table
 from riskloom.llm.oracles import LLM_ORACLES as LLM_ORACLES
 
@@ -65,6 +65,10 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest_digest(table(spark, folder, "documents"))
 
 
+def op12_licence_index(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.licence_digest(table(spark, folder, "documents"))
+
+
 def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"))
 
@@ -87,6 +91,7 @@ LLM_REGISTRY: dict[str, Query] = {
     "op9_page_text": op9_page_text,
     "op10_secret_battery": op10_secret_battery,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_licence_index": op12_licence_index,
     "op13_source_divergence": op13_source_divergence,
     "pipeline": pipeline,
 }
