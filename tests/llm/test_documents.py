@@ -83,7 +83,6 @@ def test_packing(spark, documents):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(queries.tokenizer_path())
-    tokenizer.encode_special_tokens = True
     rows = queries.op2_best_fit_packing(spark, FOLDER).collect()
     by_doc, bins = collections.defaultdict(list), collections.defaultdict(list)
     for r in rows:
@@ -102,6 +101,35 @@ def test_packing(spark, documents):
     assert len(bins) < 1.15 * sum(r.length for r in rows) / 2048 + 1
 
 
+def test_packing_of_added_tokens(spark):
+    """Ids are those of the plain tokenizer, also where a text holds one of its added tokens, in any case."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(queries.tokenizer_path())
+    texts = ["a <|endoftext|> b", "a<|startoftext|>b.", "A <|EndOfText|> B", "plain, text!", "", "\u0130stanbul \u03a3\u0391\u03a3 <|endoftext|>",
+             "x" * 3000 + " <|endoftext|> " + "word " * 5000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.start): (r.length, r.ids_crc32) for r in packing.pack(df, queries.tokenizer_path()).collect()}
+    want = {}
+    for k, text in enumerate(texts):
+        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids + [0], "<u4")
+        want |= {(k, a): (len(ids[a : a + 2048]), zlib.crc32(ids[a : a + 2048].tobytes())) for a in range(0, len(ids), 2048)}
+    assert got == want
+
+
+def test_packing_hardly_depends_on_the_tasks(spark):
+    df = spark.read.parquet(FOLDER.replace("sf0.001", "sf0.01") + "/documents.parquet").select("doc_id", "text")
+    for tasks in (1, 8, 64):
+        rows = packing.pack(df.repartition(tasks), queries.tokenizer_path()).collect()
+        bins = collections.defaultdict(list)
+        for r in rows:
+            bins[r.sequence_id].append((r.offset, r.length))
+        for parts in bins.values():
+            parts.sort()
+            assert [o for o, _ in parts] == [0, *np.cumsum([n for _, n in parts])[:-1].tolist()] and sum(n for _, n in parts) <= 2048
+        assert len(bins) <= 1.02 * math.ceil(sum(r.length for r in rows) / 2048)
+
+
 def test_best_fit_closes_the_fullest():
     bins = packing.BestFit(10, 2)
     assert [bins.place(s) for s in (6, 7, 3, 4, 9, 2)] == [(0, 0), (1, 0), (1, 7), (0, 6), (2, 0), (3, 0)]
