@@ -42,6 +42,13 @@ ESG = f"""esg AS (
          {PILLAR.format('o_orderpriority')} AS pillar
   FROM orders JOIN owners ON o_custkey = c_custkey GROUP BY ALL)"""
 
+#: Customers are scored by their line items and the years these were shipped in.
+ESG_LINES = f"""esg AS (
+  SELECT iso3, country, {fy('l_shipdate')} AS year, o_orderpriority AS indicator,
+         CAST(sum({CENTS.format('l_extendedprice')}) AS DOUBLE) / 1e2 / count(*) AS value,
+         {PILLAR.format('o_orderpriority')} AS pillar
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN owners ON o_custkey = c_custkey GROUP BY ALL)"""
+
 
 def norm(source: str) -> str:
     return f"""norm AS (
@@ -108,7 +115,7 @@ MASTER = """master AS (
 
 
 def base(grain: str) -> str:
-    return ",\n".join([OWNERS[grain], ESG, norm("esg"), SCORES])
+    return ",\n".join([OWNERS[grain], ESG if grain == "nation" else ESG_LINES, norm("esg"), SCORES])
 
 
 def master(grain: str = "customer") -> str:

@@ -50,10 +50,6 @@ def cents(amount: Column) -> Column:
     return F.rint(amount * 100.0).cast("bigint")
 
 
-def mean_of_cents(column: str) -> Column:
-    return F.sum(column).cast("double") / 100.0 / F.count(column)
-
-
 def countries(spark: SparkSession, folder: str) -> DataFrame:
     """Country dimension: nations with their region."""
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
@@ -80,15 +76,26 @@ def _customers(spark: SparkSession, folder: str, grain: str) -> DataFrame:
 
 
 def esg(spark: SparkSession, folder: str, grain: str = "nation") -> DataFrame:
-    """Indicator values: mean order amount per entity, fiscal year and priority."""
-    orders = table(spark, folder, "orders").select(
-        "o_custkey",
-        fiscal_year(F.col("o_orderdate")).alias("year"),
-        F.col("o_orderpriority").alias("indicator"),
-        cents(F.col("o_totalprice")).alias("amount"),
-    )
-    facts = orders.join(_customers(spark, folder, grain), F.col("o_custkey") == F.col("c_custkey"))
-    values = facts.groupBy("iso3", "country", "year", "indicator").agg(mean_of_cents("amount").alias("value"))
+    """Indicator values per entity, fiscal year and priority: mean order amount by order year for nations, mean line
+    amount by shipping year for customers, who thus have scores in years in which they ordered nothing.
+
+    Line items are added up per order and year before they are joined to their orders.
+    """
+    indicator = F.col("o_orderpriority").alias("indicator")
+    if grain == "nation":
+        facts = table(spark, folder, "orders").select(
+            "o_custkey", fiscal_year(F.col("o_orderdate")).alias("year"), indicator, cents(F.col("o_totalprice")).alias("amount"),
+            F.lit(1).alias("n"),
+        )
+    else:
+        lines = table(spark, folder, "lineitem").select(
+            "l_orderkey", fiscal_year(F.col("l_shipdate")).alias("year"), cents(F.col("l_extendedprice")).alias("amount")
+        ).groupBy("l_orderkey", "year").agg(F.sum("amount").alias("amount"), F.count("amount").alias("n"))
+        orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", indicator)
+        facts = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    owned = facts.join(_customers(spark, folder, grain), F.col("o_custkey") == F.col("c_custkey"))
+    mean = F.sum("amount").cast("double") / 100.0 / F.sum("n")
+    values = owned.groupBy("iso3", "country", "year", "indicator").agg(mean.alias("value"))
     return values.withColumn("pillar", pillar_of(F.col("indicator"), PRIORITIES)).select(*ESG.names)
 
 
