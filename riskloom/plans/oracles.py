@@ -610,3 +610,57 @@ add(
   CAST(max(closing_year) >= 1998 AS INTEGER) AS recent, count(outcome_rating) AS rated FROM ratings GROUP BY sector""",
     COUNTRIES, RATINGS["nation"],
 )
+
+# --- jobs ------------------------------------------------------------------------------------------------------------
+
+CODE = """CASE indicator WHEN '1-URGENT' THEN 'EG.ELC.ACCS.ZS' WHEN '2-HIGH' THEN 'SP.DYN.LE00.IN'
+  WHEN '3-MEDIUM' THEN 'SI.POV.DDAY' WHEN '4-NOT SPECIFIED' THEN 'EG.FEC.RNEW.ZS' ELSE 'EN.ATM.CO2E.PC' END"""
+add(
+    "job_bronze_esg",
+    f"""SELECT iso3, country, year, {CODE} AS indicator, value,
+  CASE WHEN indicator IN ('1-URGENT', '2-HIGH', '3-MEDIUM') THEN 'social' ELSE 'environmental' END AS pillar
+FROM esg WHERE year BETWEEN 1993 AND 1997 AND iso3 NOT IN (SELECT iso3 FROM countries WHERE region = 'AFRICA')""",
+    OWNERS["nation"], ESG,
+)
+add(
+    "job_bronze_loans",
+    f"""SELECT loan_id, country, fiscal_year,
+  {r("CASE WHEN CAST(loan_id AS BIGINT) % 2 = 0 THEN commitment_amount * 2 ELSE commitment_amount END", 2)} AS commitment_amount,
+  {r('disbursement_amount', 2)} AS disbursement_amount, source FROM loans WHERE source = 'IBRD'
+UNION ALL
+SELECT 'all|' || country || '|' || fiscal_year || '|' || source, country, fiscal_year,
+  {r('coalesce(sum(commitment_amount), 0e0)', 2)}, {r('coalesce(sum(disbursement_amount), 0e0)', 2)}, source
+FROM loans WHERE source = 'IDA' GROUP BY country, fiscal_year, source""",
+    OWNERS["nation"], LOANS,
+)
+add(
+    "job_bronze_ratings",
+    """SELECT * FROM ratings WHERE closing_year <> 1995 QUALIFY row_number() OVER (PARTITION BY project_id
+  ORDER BY country DESC, outcome_rating DESC, sector DESC, closing_year DESC, is_successful DESC) = 1""",
+    COUNTRIES, RATINGS["nation"],
+)
+add("job_gold_scores", "SELECT * FROM scores", base("nation"))
+add("job_gold_master", f"SELECT {MASTER_COLUMNS} FROM master", master("nation"))
+add(
+    "job_written_rows",
+    "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, CAST(count(*) AS BIGINT) AS written, CAST(count(*) AS BIGINT) AS n FROM {source}"
+        for name, source in (("aggregate_esg", "scores"), ("aggregate_loans", "lending"), ("aggregate_ratings", "success"),
+                             ("esg_lending_master", "master"))
+    ),
+    master("nation"),
+)
+add("job_analysis_files", ORACLES["analysis_export"])
+add(
+    "job_refresh_loans",
+    f"""SELECT CAST(o_orderkey AS VARCHAR) AS loan_id, 'Customer ' || o_custkey AS country, {fy('o_orderdate')} AS fiscal_year,
+  o_totalprice AS commitment_amount, o_totalprice AS disbursement_amount, 'IBRD' AS source FROM orders""",
+)
+add(
+    "job_waiting_feeds",
+    """SELECT o_orderstatus AS feed, CAST(count(*) FILTER (o_orderkey // 1000 < last) AS BIGINT) AS rows_landed,
+  CAST(count(*) AS BIGINT) AS rows_announced, FALSE AS complete,
+  (SELECT CAST(count(*) AS BIGINT) FROM orders WHERE o_orderstatus = 'F') AS rows_merged
+FROM orders JOIN (SELECT o_orderstatus AS s, max(o_orderkey) // 1000 AS last FROM orders GROUP BY 1) ON s = o_orderstatus
+WHERE o_orderstatus <> 'F' GROUP BY 1""",
+)

@@ -35,6 +35,7 @@ from riskloom.operators.rollups import aggregate_loans, aggregate_ratings, lendi
 from riskloom.operators.scoring import normalise, pillar_scores
 from riskloom.operators.summary import country_summary
 from riskloom.plans.analysis import analysis_columns, enrich
+from riskloom.plans.job_queries import JOB_QUERIES
 from riskloom.session import shared_folder, stored, together
 from riskloom.sinks.tables import merged, write_csv
 from riskloom.sources import star
@@ -638,3 +639,6 @@ def share_of_sector(spark, folder):
         flag(F.max("closing_year") >= 1998).alias("recent"),
         F.count(strip_text(F.col("outcome_rating"))).alias("rated"),
     )
+
+
+REGISTRY.update(JOB_QUERIES)

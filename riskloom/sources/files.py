@@ -59,7 +59,8 @@ def _null(field: T.StructField):
 
 
 def read_managed(spark: SparkSession, table: str, schema: T.StructType, *, optional: bool = False) -> DataFrame:
-    """Scan of a catalog table; an optional one that does not exist reads as empty."""
+    """Scan of the columns of ``schema`` in a catalog table; an optional one that does not exist reads as empty."""
     if optional and not spark.catalog.tableExists(table):
         return spark.createDataFrame([], schema)
-    return without_nan(spark.table(table))
+    rows = spark.table(table)
+    return without_nan(rows.select(*[c for c in schema.names if c in rows.columns]))

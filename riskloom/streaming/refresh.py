@@ -1,16 +1,21 @@
 """Scheduled refresh of the bronze tables: each run takes the pages that were landed since the last one.
 
 A file stream keeps track of the pages that are done, so a run reads new pages only. The upsert replaces rows by key,
-so a batch that is repeated after a failure changes nothing.
+and rows set aside belong to their batch, so a batch that is repeated after a failure changes nothing.
+
+Pages of a feed that is not complete wait: after every batch the waiting pages are written to a folder of that batch in
+the shared folder, and the next batch takes them up again. A repeated batch starts from the same folder.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from riskloom.sinks.tables import upsert
+from riskloom.session import stored
+from riskloom.sinks.tables import set_aside, upsert
 
 PAGE = T.StructType([T.StructField("value", T.StringType())])
 
@@ -27,12 +32,17 @@ def refresh(
     partition_by: Sequence[str] = (),
     order: Sequence[str] = (),
     pages_per_batch: int = 10_000,
+    feed: Column | None = None,
+    completeness: Callable[[DataFrame], DataFrame] | None = None,
 ) -> int:
     """Upsert the rows that ``parse`` finds in the new pages under ``landed``; returns the number of batches.
 
     ``parse`` gets a frame with one ``page`` and its ``path`` per row. With ``order`` the latest of several rows of
-    one key in a batch is the greatest by these columns. Rows that lack a key are added to ``<table>_quarantine``; a
-    batch that is run again after a failure adds them again.
+    one key in a batch is the greatest by these columns. Rows that lack a key are kept in ``<table>_quarantine``, by batch.
+
+    With ``feed``, an expression of ``path`` and ``page`` that names the feed of a page, and ``completeness``, which gets
+    frames with ``feed`` and ``page`` and returns ``feed`` and ``complete``, the pages of a feed are parsed together once
+    all of them have landed.
     """
     pages = (
         spark.readStream.format("text")
@@ -46,9 +56,10 @@ def refresh(
     batches = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if feed is not None:
+            batch = _complete_feeds(batch.withColumn("feed", feed), checkpoint, batch_id, completeness)
         aside = upsert(parse(batch), table, keys, fmt=fmt, partition_by=partition_by, order=order).quarantine
-        if not aside.isEmpty():
-            aside.write.format(fmt).mode("append").saveAsTable(f"{table}_quarantine")
+        set_aside(aside, f"{table}_quarantine", batch_id, fmt)
         batches.append(batch_id)
 
     run = (
@@ -62,3 +73,38 @@ def refresh(
         # batches are written in a session of the stream's own; this one may still know the old files
         spark.catalog.refreshTable(table)
     return len(batches)
+
+
+WAITING = "page string, path string, feed string"
+
+
+def _waiting_folder(checkpoint: str, batch_id: int) -> str:
+    return f"{checkpoint.rstrip('/')}-waiting/after={batch_id}"
+
+
+def _waiting(spark: SparkSession, folder: str) -> DataFrame:
+    try:
+        return spark.read.schema(WAITING).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], WAITING)
+
+
+def _complete_feeds(
+    batch: DataFrame, checkpoint: str, batch_id: int, completeness: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Pages of the feeds that this batch completes; the others are written to wait for the next batch."""
+    spark = batch.sparkSession
+    held = _waiting(spark, _waiting_folder(checkpoint, batch_id - 1)).unionByName(batch.select("page", "path", "feed"))
+    held = stored(held, "pages")
+    done = completeness(held).filter("complete").select("feed")
+    held.join(done, "feed", "left_anti").select("page", "path", "feed").write.mode("overwrite").parquet(
+        _waiting_folder(checkpoint, batch_id)
+    )
+    return held.join(done, "feed", "left_semi")
+
+
+def waiting_pages(spark: SparkSession, checkpoint: str, batches: int) -> DataFrame:
+    """Pages (page, path, feed) that wait for the rest of their feed after so many batches in all."""
+    return _waiting(spark, _waiting_folder(checkpoint, batches - 1))

@@ -231,3 +231,109 @@ def test_refresh_takes_new_pages_only(spark, landed, database, tmp_path):
         ("L1", 2022, 100.0), ("L2", 2022, 75.0), ("L9", 2024, 5.0)}
     assert values(spark.table(f"{database}.loans_quarantine"), "country") == {("Mali",)}
     assert spark.table(f"{database}.loans").filter(F.col("source") != "IBRD").isEmpty()
+
+
+# --- upserts by bucket, batches that run again, feeds that land bit by bit ---------------------------------------------
+
+LOAN = "loan_id string, country string, fiscal_year int, commitment_amount double, disbursement_amount double, source string"
+
+
+def test_upsert_rewrites_touched_buckets_only(spark, database):
+    table = f"{database}.loans"
+    rows = [(f"L{k}", "Chad", 2020, float(k), 0.0, "IDA") for k in range(200)]
+    upsert(spark.createDataFrame(rows, LOAN), table, ["loan_id"], buckets=16)
+    before = set(spark.table(table).inputFiles())
+    for buckets in (16, 5):  # a table keeps the number of buckets it has
+        upsert(spark.createDataFrame([("L7", "Chad", 2020, -1.0, 0.0, "IDA"), ("N1", "Chad", 2020, -2.0, 0.0, "IDA")], LOAN),
+               table, ["loan_id"], buckets=buckets)
+        assert len(before - set(spark.table(table).inputFiles())) <= 2
+    got = values(spark.table(table), "loan_id", "commitment_amount")
+    assert got == {(f"L{k}", float(k) if k != 7 else -1.0) for k in range(200)} | {("N1", -2.0)}
+    assert spark.table(table).count() == 201
+
+
+def test_loans_with_ids_then_without_then_mixed(spark, database):
+    esg = spark.createDataFrame([("TCD", 2020, "X", 1.0)], FACTS)
+    ids = [("L1", "Chad", 2020, 1.0, 1.0, "IDA"), ("L2", "Mali", 2020, 2.0, 1.0, "IDA")]
+    none = [(None, "Chad", 2020, 4.0, 1.0, "IBRD"), (None, "Chad", 2020, 5.0, 1.0, "IBRD"), (None, None, 2020, 6.0, 1.0, "IBRD")]
+    mixed = [("L2", "Mali", 2020, 9.0, 1.0, "IDA"), (None, "Mali", 2020, 7.0, 1.0, "IDA")]
+    for rows, aside in ((ids, None), (none, 6.0), (mixed, 7.0)):
+        write_bronze({"esg": esg, "loans": spark.createDataFrame(rows, LOAN)}, database)
+        if aside:
+            assert values(spark.table(f"{database}.loans_quarantine"), "commitment_amount") == {(aside,)}
+    assert values(spark.table(f"{database}.loans"), "loan_id", "country", "commitment_amount") == {
+        ("L1", "Chad", 1.0), ("L2", "Mali", 9.0), ("all|Chad|2020|IBRD", "Chad", 9.0)}
+
+
+def test_a_batch_that_runs_again_sets_its_rows_aside_once(spark, database, tmp_path, monkeypatch):
+    from riskloom.streaming import refresh as module
+
+    parse = lambda pages: normalise_loans(parse_batches(pages, _schema(", ".join(f"{f} string" for f in loan(1, "", "", 1)))), "IDA")
+    folder, table = str(tmp_path / "pages"), f"{database}.loans"
+    put(f"{folder}/1.json", json.dumps({"count": 2, "data": [loan("L1", "Chad", "2022-01-10", 1.0), loan(None, "Mali", "2022-01-10", 2.0)]}))
+    arguments = (spark, folder, str(tmp_path / "progress"), table, ["loan_id"], parse)
+    write = module.set_aside
+
+    def die(*args):
+        write(*args)
+        raise RuntimeError("lost after the write")
+
+    monkeypatch.setattr(module, "set_aside", die)
+    with pytest.raises(Exception, match="lost after the write"):
+        refresh(*arguments)
+    monkeypatch.setattr(module, "set_aside", write)
+    assert refresh(*arguments) == 1
+    assert spark.table(f"{table}_quarantine").count() == 1 and spark.table(table).count() == 1
+    put(f"{folder}/2.json", json.dumps({"count": 1, "data": [loan(None, "Mali", "2022-01-10", 3.0)]}))
+    refresh(*arguments)
+    assert values(spark.table(f"{table}_quarantine"), "commitment_amount") == {(2.0,), (3.0,)}
+
+
+def test_a_feed_is_merged_after_its_last_page(spark, database, tmp_path):
+    from riskloom.sources.envelopes import batch_completeness
+    from riskloom.streaming.refresh import waiting_pages
+
+    parse = lambda pages: normalise_loans(parse_batches(pages, _schema(", ".join(f"{f} string" for f in loan(1, "", "", 1)))), "IDA")
+    folder, table, progress = str(tmp_path / "pages"), f"{database}.loans", str(tmp_path / "progress")
+    calls = []
+
+    def counted_parse(pages):
+        calls.append(sorted(r.feed for r in pages.select("feed").collect()))
+        return parse(pages)
+
+    def run():
+        return refresh(spark, folder, progress, table, ["loan_id"], counted_parse,
+                       feed=F.regexp_extract("path", "/([a-z]+)/[0-9]+.json$", 1), completeness=batch_completeness)
+
+    def page(feed, k, count, *ids):
+        put(f"{folder}/{feed}/{k}.json", json.dumps({"count": count, "data": [loan(i, "Chad", "2022-01-10", 1.0) for i in ids]}))
+
+    page("ida", 1, 3, "A")
+    page("ibrd", 1, 1, "X")
+    assert run() == 1 and values(spark.table(table), "loan_id") == {("X",)}
+    page("ida", 2, 3, "B")
+    assert run() == 1 and values(spark.table(table), "loan_id") == {("X",)}
+    assert waiting_pages(spark, progress, 2).count() == 2
+    page("ida", 3, 3, "C")
+    assert run() == 1 and values(spark.table(table), "loan_id") == {("X",), ("A",), ("B",), ("C",)}
+    assert calls == [["ibrd"], [], ["ida"] * 3] and waiting_pages(spark, progress, 3).isEmpty()
+
+
+def test_missing_rows_of_a_feed_raise(spark, landed):
+    put(f"{landed.loans['IDA'][0]}/1.json", json.dumps({"count": 2, "data": [loan("C1", "India", "2022-08-01", 30.0)]}))
+    with pytest.raises(ValueError, match="1 of 2 rows of IDA"):
+        bronze_tables(spark, landed)
+
+
+@pytest.mark.parametrize("parts", [(), ("part",)])
+def test_an_overwrite_that_dies_leaves_the_table(spark, database, parts):
+    table = f"{database}.t"
+    df = spark.range(10).select("id", (F.col("id") % 2).alias("part"))
+    assert overwrite(df, table, partition_by=parts) == 10
+    dies = df.withColumn("id", F.when(F.col("id") < 9, F.col("id")).otherwise(F.raise_error(F.lit("gone")).cast("bigint")))
+    with pytest.raises(Exception, match="gone"):
+        overwrite(dies, table, partition_by=parts)
+    assert spark.table(table).count() == 10
+    assert overwrite(df.filter("id < 4"), table, partition_by=parts) == 4 and values(spark.table(table), "id") == {(0,), (1,), (2,), (3,)}
+    assert overwrite(df.select("id", "part", F.lit("x").alias("s")), table, partition_by=parts) == 10
+    assert set(spark.table(table).columns) == {"id", "part", "s"} and spark.table(table).count() == 10
