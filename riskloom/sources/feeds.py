@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.functions.dates import fiscal_year, to_date
+from riskloom.functions.dates import fiscal_year, puts_day_first, to_date
 from riskloom.functions.numeric import to_double
 from riskloom.functions.text import is_success, strip_text, year_in_text
 from riskloom.sources.resolve import resolve, resolved
@@ -54,7 +54,8 @@ def esg_bronze(
 def normalise_loans(raw: DataFrame, source: str, start: int | None = None, end: int | None = None) -> DataFrame:
     """Loans of one feed in the common layout, one row per loan.
 
-    A feed without country, approval date or principal yields no rows. Loans without a fiscal year are dropped.
+    A feed without country, approval date or principal yields no rows. Loans without a fiscal year are dropped. Whether
+    the feed writes the day or the month first is found in the whole column before its dates are read.
     """
     if any(resolve(raw, LOAN_FIELDS[f]) is None for f in ("country", "approval", "principal")):
         return raw.sparkSession.createDataFrame([], LOANS)
@@ -62,10 +63,11 @@ def normalise_loans(raw: DataFrame, source: str, start: int | None = None, end:
         disbursed = F.lit(0.0)
     else:
         disbursed = to_double(resolved(raw, LOAN_FIELDS["disbursed"]))
+    approval = resolved(raw, LOAN_FIELDS["approval"])
     loans = raw.select(
         strip_text(resolved(raw, LOAN_FIELDS["loan_id"])).alias("loan_id"),
         strip_text(resolved(raw, LOAN_FIELDS["country"])).alias("country"),
-        fiscal_year(to_date(resolved(raw, LOAN_FIELDS["approval"]))).alias("fiscal_year"),
+        fiscal_year(to_date(approval, day_first=puts_day_first(raw, approval))).alias("fiscal_year"),
         to_double(resolved(raw, LOAN_FIELDS["principal"])).alias("commitment_amount"),
         disbursed.alias("disbursement_amount"),
         F.lit(source).alias("source"),

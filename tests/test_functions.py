@@ -171,3 +171,25 @@ def test_java_number_suffix_is_no_number(spark):
 
     df = spark.createDataFrame([("10d",), ("1f",), ("1.5",), ("-2e3",), ("x",)], "v string")
     assert [r[0] for r in df.select(to_double(F.col("v"))).collect()] == [None, None, 1.5, -2000.0, None]
+
+
+def test_the_column_tells_whether_the_day_comes_first(spark):
+    from pyspark.sql import functions as F
+
+    from riskloom.functions.dates import puts_day_first, to_date
+    from riskloom.sources.feeds import normalise_loans
+
+    def read(*texts):
+        df = spark.createDataFrame([(t,) for t in texts], "v string")
+        day_first = puts_day_first(df, F.col("v"))
+        return [str(r[0]) for r in df.select(to_date(F.col("v"), day_first=day_first)).collect()]
+
+    assert read("15/03/2022", "03/04/2022", None, "x") == ["2022-03-15", "2022-04-03", "None", "None"]
+    assert read("03/15/2022", "03/04/2022 10:00:00") == ["2022-03-15", "2022-03-04"]
+    assert read("03/04/2022") == ["2022-03-04"]
+    # a column that holds both can only be read as month first, and what does not fit is no date
+    assert read("15/03/2022", "03/15/2022") == ["None", "2022-03-15"]
+    assert read("12345", "99999-01-01", "2022", "-0001-01-01") == ["None", "None", "2022-01-01", "None"]
+    raw = spark.createDataFrame([("1", "Chad", "25/06/2022", "1"), ("2", "Chad", "01/07/2022", "2")],
+                                "id string, country string, board_approval_date string, original_principal_amount string")
+    assert {(r.loan_id, r.fiscal_year) for r in normalise_loans(raw, "IDA").collect()} == {("1", 2022), ("2", 2023)}
