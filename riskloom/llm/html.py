@@ -47,13 +47,16 @@ BOILER_TOKENS = frozenset(
     " popup promo promoted related reply replies search select share sharing sidebar signup social sponsor sponsored"
     " subscribe toolbar topbar widget aside complementary contentinfo alert".split()
 )
+#: Share of a page's text above which an element is not written off by its name.
+MOST_TEXT = 0.6
 #: What an opening tag closes, up to the tags that bound the search.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}), "body": ({"head"}, set()),
 }
-TAG = re.compile(r"<(?:!--|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[!?][^>]*>)")
+#: A quote means something only where a value begins; elsewhere it is a character like any other.
+TAG = re.compile(r"""<(?:!--|(/?)([a-zA-Z][^\s/>]*)((?:=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)|[^>=]++|=)*+)>|[!?][^>]*>)""")
 LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 ATTR = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 TOKEN = re.compile(r"[a-z]+")
@@ -199,12 +202,33 @@ GROUPS = {  # content: what ``tells`` says
 }
 
 
+def named_boilerplate(nodes: list[Node]) -> list[bool]:
+    """Which elements a tag or token names as boilerplate.
+
+    A name does not write off the page itself: not html and body, not an element that is content by its markup or holds
+    one that is, and not one with most of the text of the page.
+    """
+    size, holds = [0] * len(nodes), [tells(node) for node in nodes]
+    for i in range(len(nodes) - 1, -1, -1):
+        node = nodes[i]
+        if node.tag not in HEAD:
+            size[i] += sum(len(part) for _, part in node.parts if part)
+            if i:
+                size[node.parent] += size[i]
+                holds[node.parent] |= holds[i]
+    return [
+        bool(node.tag in BOILER_TOKENS or node.tokens & BOILER_TOKENS)
+        and node.tag not in ("html", "body") and not holds[i] and size[i] <= MOST_TEXT * size[0]
+        for i, node in enumerate(nodes)
+    ]
+
+
 def features(nodes: list[Node]) -> np.ndarray:
     """Rows of numbers, one for each node."""
     n = len(nodes)
     own, links, tags, texts = np.zeros(n), np.zeros(n), np.ones(n), np.zeros(n)
     kind = np.zeros((n, len(GROUPS)))
-    boiler = np.zeros(n)
+    boiler = np.array(named_boilerplate(nodes), float)
     for i, node in enumerate(nodes):
         for _, part in node.parts:
             if part is LINK:
@@ -214,7 +238,6 @@ def features(nodes: list[Node]) -> np.ndarray:
                 texts[i] += 1
         kind[i] = [node.tag in g for g in GROUPS.values()]
         kind[i, 3] = tells(node)
-        boiler[i] = bool(node.tokens & BOILER_TOKENS or node.tag in BOILER_TOKENS)
     total, all_links, paragraphs = own.copy(), links.copy(), kind[:, 0].copy()
     parent = np.array([node.parent for node in nodes])
     for i in range(n - 1, 0, -1):
@@ -247,10 +270,10 @@ def weak_roles(nodes: list[Node]) -> np.ndarray | None:
                 k = nodes[k].parent
     if not holds[0]:
         return None
-    roles = np.zeros(len(nodes), np.int64)
+    roles, named = np.zeros(len(nodes), np.int64), named_boilerplate(nodes)
     for i, node in enumerate(nodes):
         above = roles[node.parent] if i else FRAME
-        if above == BOILERPLATE or node.tag in HEAD or node.tokens & BOILER_TOKENS or node.tag in BOILER_TOKENS:
+        if above == BOILERPLATE or node.tag in HEAD or named[i]:
             roles[i] = BOILERPLATE
         elif above == CONTENT or tells(node):
             roles[i] = CONTENT
@@ -392,10 +415,12 @@ def text_of(nodes: list[Node], roles: np.ndarray) -> str:
 
 
 def rule_logs(nodes: list[Node]) -> np.ndarray:
-    """Log-probabilities where no trees could be fitted: content unless a token says boilerplate."""
+    """Log-probabilities where no trees could be fitted: content unless a name, or one above, says boilerplate."""
     out = np.tile(np.log([0.2, 0.7, 0.1]), (len(nodes), 1))
+    named = named_boilerplate(nodes)
     for i, node in enumerate(nodes):
-        if node.tag in HEAD or node.tag in BOILER_TOKENS or node.tokens & BOILER_TOKENS:
+        named[i] = named[i] or node.tag in HEAD or i > 0 and named[node.parent]
+        if named[i]:
             out[i] = np.log([0.01, 0.01, 0.98])
     return out
 
@@ -430,12 +455,18 @@ def fit(pages: list[str]) -> Trees | None:
     return boost(np.concatenate(xs), np.concatenate(ys)) if xs else None
 
 
+def _drawn(rows: DataFrame, n: int) -> list[str]:
+    """SAMPLE_PAGES different pages (all, if fewer) by a hash of id and page, the same in whatever order the rows are."""
+    share = min(1.0, 1.5 * SAMPLE_PAGES / max(n, 1))
+    some = rows.withColumn("h", F.xxhash64("page_id", "html")).where(F.pmod("h", F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    drawn = some.select("h", "html").distinct().orderBy("h", "html").limit(SAMPLE_PAGES)
+    return [r.html or "" for r in drawn.collect()]
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """One row per row of ``pages``: page_id, url, text, n_chars."""
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    share = min(1.0, 1.5 * SAMPLE_PAGES / max(pages.count(), 1))
-    drawn = rows.where(F.pmod(F.xxhash64("page_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).limit(SAMPLE_PAGES)
-    trees = rows.sparkSession.sparkContext.broadcast(fit([r.html or "" for r in drawn.select("html").collect()]))
+    trees = rows.sparkSession.sparkContext.broadcast(fit(_drawn(rows, pages.count())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, urls, pages_ in pieces(batches, 2):

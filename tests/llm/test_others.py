@@ -81,6 +81,42 @@ def test_pages_without_article_keep_their_text(spark, start, end):
     assert html.extract(body, trees) == ["One two Three four"] * 3
 
 
+@pytest.mark.parametrize("old, new", [
+    ("<body>", '<body class="has-sidebar">'), ("<article>", '<article class="post comments-open">'),
+    (("<article>", "</article>"), ('<div class="entry">', "</div>")), ("<p>", "<p title=it's>"),
+])
+def test_pages_keep_their_text_when_all_of_the_table_is_altered(spark, old, new):
+    """Fitted and extracted on the same altered pages."""
+    rows = [r.html for r in spark.read.parquet(f"{FOLDER}/pages.parquet").orderBy("page_id").collect()]
+    want = html.extract(rows, html.fit(rows))
+    other = rows
+    for a, b in zip(*((old, new) if isinstance(old, tuple) else ((old,), (new,)))):
+        other = [h.replace(a, b) for h in other]
+    assert other != rows
+    got = html.extract(other, html.fit(other))
+    assert [g == w for g, w in zip(got, want)].count(False) == 0
+
+
+def test_one_page_in_ten_with_a_telling_body_class(spark):
+    rows = [r.html for r in spark.read.parquet(f"{FOLDER}/pages.parquet").orderBy("page_id").collect()]
+    want = html.extract(rows, html.fit(rows))
+    other = [h.replace("<body>", '<body class="has-sidebar">') if k % 10 == 0 else h for k, h in enumerate(rows)]
+    assert html.extract(other, html.fit(other)) == want
+
+
+def test_quotes_in_unquoted_values():
+    page = "<p title=it's>Hello one</p><p>Don't go</p><p data-x=\"a>b\" y='c>d'>End</p>"
+    nodes = html.parse(page)
+    assert html.text_of(nodes, np.array([html.CONTENT] * len(nodes))) == "Hello one Don't go End"
+
+
+def test_samples_do_not_depend_on_the_layout(spark):
+    docs, pages = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "pages"))
+    assert pii._sample(docs.repartition(3)) == pii._sample(docs.repartition(7)) != []
+    rows = pages.select("page_id", "html")
+    assert html._drawn(rows.repartition(2).unionAll(rows.limit(1)), 250) == html._drawn(rows.repartition(5), 250) != []
+
+
 def test_role_main_counts_as_markup():
     page = "<body><div class=x>Top</div><div role=main><p>One</p><div class=ad>Buy</div></div></body>"
     nodes = html.parse(page)
