@@ -250,12 +250,13 @@ def added_spans(texts: list[str], base: list[list[Span]], weights: Weights) -> l
 
 
 def _sample(docs: DataFrame) -> list[str]:
-    """At most SAMPLE_ROWS texts with a digit or '@', chosen by a hash of the id."""
-    rows = docs.select(F.col("text").cast("string").alias("text"), F.xxhash64(F.col("doc_id").cast("long")).alias("h"))
+    """SAMPLE_ROWS different texts with a digit or '@' (all, if fewer) by a hash of id and text, whatever the order of the rows."""
+    text = F.col("text").cast("string")
+    rows = docs.select(text.alias("text"), F.xxhash64(F.col("doc_id").cast("long"), text).alias("h"))
     total = docs.count()
     share = min(1.0, 1.5 * SAMPLE_ROWS / max(total, 1))
     chosen = rows.where((F.pmod("h", F.lit(1 << 20)) < int(share * (1 << 20)) + 1) & F.col("text").rlike("[0-9@]"))
-    return [r.text for r in chosen.select("text").limit(SAMPLE_ROWS).collect()]
+    return [r.text for r in chosen.distinct().orderBy("h", "text").limit(SAMPLE_ROWS).collect()]
 
 
 def find_pii(docs: DataFrame, weights: Weights | None = None) -> DataFrame:
