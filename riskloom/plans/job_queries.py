@@ -184,8 +184,8 @@ def job_waiting_feeds(spark: SparkSession, folder: str) -> DataFrame:
     pages, landed, progress, table = _loan_pages(spark, folder), _folder(spark, "landed"), _folder(spark, "progress"), f"{_database(spark)}.loans"
     _land(pages.filter(F.col("feed").isin("F") | ~F.col("last")).select("feed", "page"), landed, "feed")
     batches = _refresh(spark, landed, progress, table)
-    merged = spark.table(table).agg(F.count("*").alias("rows_merged"))
-    return batch_completeness(waiting_pages(spark, progress, batches)).join(F.broadcast(merged))  # one row
+    merged = spark.table(table).agg(F.count("*")).scalar()
+    return batch_completeness(waiting_pages(spark, progress, batches)).withColumn("rows_merged", merged)
 
 
 JOB_QUERIES = {f.__name__: f for f in (
