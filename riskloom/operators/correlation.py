@@ -30,12 +30,17 @@ def pearson(df: DataFrame, x: str = "esg_risk_score", y: str = "success_rate") -
     )
 
 
-def spearman(df: DataFrame, x: str = "esg_risk_score", y: str = "success_rate") -> DataFrame:
-    """Rank correlation with average ranks for ties.
+def _weighted(x: Column, y: Column, weight: Column) -> Column:
+    """Correlation of deviations from the mean that occur ``weight`` times; null where one is always 0."""
+    product, of_x, of_y = F.sum(weight * x * y), F.sum(weight * x * x), F.sum(weight * y * y)
+    return _clipped(F.try_divide(product, F.sqrt(of_x) * F.sqrt(of_y)))
+
+
+def _ranked_pairs(df: DataFrame, x: str, y: str) -> DataFrame:
+    """Distinct pairs with their ``weight`` and the average rank of both values.
 
     Equal pairs are counted and stored first, so that only distinct pairs and distinct values move, however often one
     occurs, and the rows are read once.
-    Both rank columns have the mean ``(n+1)/2``, which makes the correlation a weighted sum over distinct pairs.
     """
     pairs = stored(paired(df, x, y).groupBy("x", "y").agg(F.count("*").alias("weight")), "pairs")
 
@@ -44,26 +49,45 @@ def spearman(df: DataFrame, x: str = "esg_risk_score", y: str = "success_rate")
         return average_ranks(counts, "v", "n").select(F.col("v").alias(column), F.col("rank").alias(f"rank_{column}"))
 
     of_x, of_y = together(lambda: ranks("x"), lambda: ranks("y"))
-    ranked = pairs.join(of_x, "x").join(of_y, "y")
-    n = pairs.agg(F.sum("weight").alias("n")).scalar()
-    middle = (n + 1) / 2.0
-    dx, dy = F.col("rank_x") - middle, F.col("rank_y") - middle
-    w = F.col("weight")
-    rho = F.try_divide(F.sum(w * dx * dy), F.sqrt(F.sum(w * dx * dx)) * F.sqrt(F.sum(w * dy * dy)))
-    total = F.coalesce(F.sum("weight"), F.lit(0).cast("bigint"))
-    return ranked.agg(total.alias("n"), F.when(total >= MIN_PAIRED_ROWS, _clipped(rho)).alias("rho"))
+    means = pairs.agg(
+        F.coalesce(F.sum("weight"), F.lit(0).cast("bigint")).alias("n"),
+        # the mean of equal values is that value, without a rounding error that would count as spread
+        *[F.when(F.min(c) == F.max(c), F.min(c)).otherwise(F.sum(F.col(c) * F.col("weight")) / F.sum("weight")).alias(f"mean_{c}")
+          for c in ("x", "y")],
+    )
+    # the means are one row
+    return pairs.join(of_x, "x").join(of_y, "y").join(F.broadcast(means))
+
+
+def _correlations(df: DataFrame, x: str, y: str) -> DataFrame:
+    """One row: ``n``, ``r`` and ``rho``, all from the distinct pairs.
+
+    Both rank columns have the mean ``(n+1)/2``, so both correlations are weighted sums over distinct pairs.
+    """
+    weight, middle = F.col("weight"), (F.col("n") + 1) / 2.0
+    enough = F.coalesce(F.max("n"), F.lit(0)) >= MIN_PAIRED_ROWS
+    r = _weighted(F.col("x") - F.col("mean_x"), F.col("y") - F.col("mean_y"), weight)
+    rho = _weighted(F.col("rank_x") - middle, F.col("rank_y") - middle, weight)
+    return _ranked_pairs(df, x, y).agg(
+        F.coalesce(F.max("n"), F.lit(0).cast("bigint")).alias("n"),
+        F.when(enough, r).alias("r"),
+        F.when(enough, rho).alias("rho"),
+    )
+
+
+def spearman(df: DataFrame, x: str = "esg_risk_score", y: str = "success_rate") -> DataFrame:
+    """Rank correlation with average ranks for ties."""
+    return _correlations(df, x, y).select("n", "rho")
 
 
 def risk_success_correlation(df: DataFrame, x: str = "esg_risk_score", y: str = "success_rate") -> DataFrame:
     """Both correlations with their p-values and whether either is significant; one row, empty below five pairs."""
-    first = pearson(df, x, y)
-    rho = spearman(df, x, y).select("rho").scalar()
-    both = first.withColumn("rho", rho)
+    both = _correlations(df, x, y)
     tested = both.withColumn("p", p_value(F.col("r"), F.col("n"))).withColumn("p_rho", p_value(F.col("rho"), F.col("n")))
     significant = F.coalesce(F.col("p") < SIGNIFICANCE, F.lit(False)) | F.coalesce(
         F.col("p_rho") < SIGNIFICANCE, F.lit(False)
     )
-    return tested.filter(F.col("n") >= MIN_PAIRED_ROWS).withColumn("significant", significant)
+    return tested.filter(F.col("n") >= MIN_PAIRED_ROWS).select("n", "r", "rho", "p", "p_rho", significant.alias("significant"))
 
 
 def linear_fit(df: DataFrame, x: str = "esg_risk_score", y: str = "success_rate") -> DataFrame:

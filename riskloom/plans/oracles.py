@@ -206,6 +206,7 @@ add(
 )
 add("first_non_empty_feed", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
 add("csv_round_trip", "SELECT * FROM loans", OWNERS["nation"], LOANS)
+add("csv_mixed_headers", "SELECT * FROM loans", OWNERS["nation"], LOANS)
 
 # --- normalisers -----------------------------------------------------------------------------------------------------
 

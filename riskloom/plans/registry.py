@@ -47,7 +47,7 @@ from riskloom.sources.envelopes import (
     parse_observations,
 )
 from riskloom.sources.feeds import loans_bronze, normalise_loans, normalise_ratings, real_entities, union_feeds
-from riskloom.sources.files import read_table_file
+from riskloom.sources.files import CSV_OPTIONS, read_table_file
 from riskloom.sources.resolve import first_non_empty
 from riskloom.vocabulary import LOANS
 
@@ -179,6 +179,21 @@ def csv_round_trip(spark, folder):
     return read_table_file(spark, path, LOANS)
 
 
+@query
+def csv_mixed_headers(spark, folder):
+    """Loans in one folder of files whose columns differ in order and number."""
+    path = f"{shared_folder(spark)}/loans-{uuid.uuid4().hex}.csv"
+    loans = stored(star.loans(spark, folder), "loans")
+    finished = F.col("source") == "IBRD"
+    recent = F.coalesce(F.col("fiscal_year") >= 1996, F.lit(False))
+    for rows, columns in (
+        (finished, LOANS.names), (~finished & recent, LOANS.names[::-1]), (~finished & ~recent, ["note", *LOANS.names[2:], *LOANS.names[:2]])
+    ):
+        part = loans.filter(rows).withColumn("note", F.lit("a, \"b\"")).select(*columns)
+        part.write.mode("append").options(**CSV_OPTIONS).csv(path)
+    return read_table_file(spark, path, LOANS)
+
+
 # --- normalisers -----------------------------------------------------------------------------------------------------
 
 
@@ -452,12 +467,12 @@ def pearson_correlation(spark, folder):
 
 @query
 def spearman_correlation(spark, folder):
-    return _rounded(spearman(stored(_master(spark, folder), "master")), 6, "rho")
+    return _rounded(spearman(_master(spark, folder)), 6, "rho")
 
 
 @query
 def correlation_test(spark, folder):
-    test = risk_success_correlation(stored(_master(spark, folder), "master"))
+    test = risk_success_correlation(_master(spark, folder))
     return _rounded(test, 6, "r", "rho", "p", "p_rho")
 
 

@@ -199,6 +199,31 @@ def test_csv_scan_matches_columns_by_name(spark, tmp_path):
     }
 
 
+def test_csv_folder_with_three_headers(spark, tmp_path):
+    folder = tmp_path / "some loans"
+    folder.mkdir()
+    (folder / "a 1.csv").write_text("loan_id,country,fiscal_year\nL1,Brazil,2020\n")
+    (folder / "b.csv").write_text("fiscal_year,extra,loan_id,country\n2021,x,L2,\"Korea, Rep.\"\n2022,y,L3,Peru\n")
+    (folder / "c.csv").write_text("\ncountry,\"loan_id\"\nChile,L4\n")
+    (folder / "d.csv").write_text("loan_id,country,fiscal_year\nL5,Fiji,2019\n")
+    (folder / "e.csv").write_text("")
+    loans = read_table_file(spark, str(folder), LOANS)
+    assert loans.schema.names == LOANS.names
+    assert values(loans, "loan_id", "country", "fiscal_year", "source") == {
+        ("L1", "Brazil", 2020, None), ("L2", "Korea, Rep.", 2021, None), ("L3", "Peru", 2022, None),
+        ("L4", "Chile", None, None), ("L5", "Fiji", 2019, None),
+    }
+    assert loans.count() == 5 and loans.filter("country = 'Peru'").count() == 1
+    wide = [f"/w{i}.csv" for i in range(3)]
+    many = tmp_path / "many"
+    many.mkdir()
+    for i, name in enumerate(wide):
+        rows = "".join(f"{i}-{n},{n}\n" if i % 2 else f"{n},{i}-{n}\n" for n in range(5000))
+        (many / name[1:]).write_text(("loan_id,fiscal_year\n" if i % 2 else "fiscal_year,loan_id\n") + rows)
+    got = read_table_file(spark, str(many), LOANS)
+    assert got.filter(F.split("loan_id", "-")[1].cast("int") == F.col("fiscal_year")).count() == 15000 == got.count()
+
+
 def test_nan_reads_as_null(spark, tmp_path, database):
     df = spark.createDataFrame([(1, float("nan")), (2, 3.0)], "fiscal_year int, commitment_amount double")
     df.write.parquet(str(tmp_path / "p"))
