@@ -17,7 +17,7 @@ from riskloom.operators.panels import (
     top_priority,
 )
 from riskloom.operators.summary import country_summary
-from riskloom.session import stored
+from riskloom.session import releasing, stored
 from riskloom.sinks.tables import write_csv
 from riskloom.sources.files import read_table_file
 from riskloom.vocabulary import ANALYSIS_COLUMNS, MASTER
@@ -56,5 +56,6 @@ def analyse(master: DataFrame, year: int | None = None) -> dict[str, DataFrame]:
 
 def run_analysis_files(spark: SparkSession, master: str, out: str, year: int | None = None) -> dict[str, int]:
     """Read the master CSV and write the analysis and summary tables as CSV."""
-    outputs = analyse(read_table_file(spark, master, MASTER), year)
-    return {name: write_csv(outputs[name], f"{out}/{name}.csv") for name in ("analysis", "country_summary")}
+    with releasing(spark):
+        outputs = analyse(read_table_file(spark, master, MASTER), year)
+        return {name: write_csv(outputs[name], f"{out}/{name}.csv") for name in ("analysis", "country_summary")}

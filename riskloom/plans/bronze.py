@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from riskloom.operators.rollups import total
+from riskloom.session import releasing
 from riskloom.sinks.tables import Written, overwrite, upsert, write_csv
 from riskloom.sources.envelopes import batch_completeness, pair_page_completeness, parse_countries, parse_observations, read_pages
 from riskloom.sources.feeds import esg_bronze, loans_bronze, normalise_ratings
@@ -126,4 +127,5 @@ def run_bronze(
     spark: SparkSession, landed: Landed, database: str, *, start: int | None = None, end: int | None = None,
     skip_ratings: bool = False, fmt: str = "parquet",
 ) -> dict[str, Written]:
-    return write_bronze(bronze_tables(spark, landed, start, end, skip_ratings), database, fmt)
+    with releasing(spark):
+        return write_bronze(bronze_tables(spark, landed, start, end, skip_ratings), database, fmt)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from riskloom.operators.master import build_master
 from riskloom.operators.rollups import aggregate_loans, aggregate_ratings
 from riskloom.operators.scoring import aggregate_esg
-from riskloom.session import stored, together
+from riskloom.session import releasing, stored, together
 from riskloom.sinks.tables import overwrite, write_csv, write_csv_unless_empty
 from riskloom.sources.files import read_managed, read_table_file
 from riskloom.vocabulary import ESG, LOANS, RATINGS
@@ -32,30 +32,32 @@ def gold_tables(
 
 def run_gold(spark: SparkSession, database: str, *, fmt: str = "parquet", match: str = "scored") -> dict[str, int]:
     """Read the bronze tables of ``database`` and replace the four derived ones; empty roll-ups are not written."""
-    tables = gold_tables(
-        read_managed(spark, f"{database}.esg", ESG),
-        read_managed(spark, f"{database}.loans", LOANS, optional=True),
-        read_managed(spark, f"{database}.ratings", RATINGS, optional=True),
-        match=match,
-    )
-    written = {}
-    for name, df in tables.items():
-        if name in ("aggregate_loans", "aggregate_ratings") and df.isEmpty():
-            continue
-        written[name] = overwrite(df, f"{database}.{name}", fmt)
+    with releasing(spark):
+        tables = gold_tables(
+            read_managed(spark, f"{database}.esg", ESG),
+            read_managed(spark, f"{database}.loans", LOANS, optional=True),
+            read_managed(spark, f"{database}.ratings", RATINGS, optional=True),
+            match=match,
+        )
+        written = {}
+        for name, df in tables.items():
+            if name in ("aggregate_loans", "aggregate_ratings") and df.isEmpty():
+                continue
+            written[name] = overwrite(df, f"{database}.{name}", fmt)
     return written
 
 
 def run_gold_files(spark: SparkSession, bronze: str, out: str, *, match: str = "scored") -> dict[str, int]:
     """The same job from CSV folders to CSV folders; loans and ratings may be missing."""
-    tables = gold_tables(
-        read_table_file(spark, f"{bronze}/esg.csv", ESG),
-        read_table_file(spark, f"{bronze}/loans.csv", LOANS, optional=True),
-        read_table_file(spark, f"{bronze}/ratings.csv", RATINGS, optional=True),
-        match=match,
-    )
     required = {"aggregate_esg", "esg_lending_master"}
-    return {
-        name: (write_csv if name in required else write_csv_unless_empty)(df, f"{out}/{name}.csv")
-        for name, df in tables.items()
-    }
+    with releasing(spark):
+        tables = gold_tables(
+            read_table_file(spark, f"{bronze}/esg.csv", ESG),
+            read_table_file(spark, f"{bronze}/loans.csv", LOANS, optional=True),
+            read_table_file(spark, f"{bronze}/ratings.csv", RATINGS, optional=True),
+            match=match,
+        )
+        return {
+            name: (write_csv if name in required else write_csv_unless_empty)(df, f"{out}/{name}.csv")
+            for name, df in tables.items()
+        }

@@ -5,8 +5,10 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from pathlib import Path
 
 from pyspark import inheritable_thread_target
@@ -24,6 +26,8 @@ RECOMMENDED_CONF: dict[str, str] = {
 }
 
 _LOCAL_FOLDER: dict[str, str] = {}
+#: Folders of the tables stored by the job that runs, None outside of :func:`releasing`.
+_OF_JOB: ContextVar[list[str] | None] = ContextVar("stored tables of the job", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -55,6 +59,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{_stored_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if (of_job := _OF_JOB.get()) is not None:
+        of_job.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -63,13 +69,36 @@ def together(*jobs: Callable[[], DataFrame]) -> list[DataFrame]:
     """Results of independent jobs that are submitted at once, so that one fills the cores another leaves idle."""
     bound = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(len(jobs)) as pool:
-        return [f.result() for f in [pool.submit(bound(job)) for job in jobs]]
+        # a thread starts without the context of the job it belongs to
+        return [f.result() for f in [pool.submit(copy_context().run, bound(job)) for job in jobs]]
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def releasing(spark: SparkSession) -> Iterator[None]:
+    """Delete what a job has stored when it is done.
+
+    For jobs whose results are written and counted by then: frames that read the stored tables cannot be used any more.
+    Jobs that run at the same time only delete their own tables. A job that fails leaves them, since an error may name
+    one that holds the only copy of merged rows.
+    """
+    stored_here: list[str] = []
+    token = _OF_JOB.set(stored_here)
+    try:
+        yield
+    finally:
+        _OF_JOB.reset(token)
+    for folder in stored_here:
+        delete_folder(spark, folder)
 
 
 def release_stored(spark: SparkSession) -> None:
     """Delete the tables this application has stored. Frames that read them cannot be used any more."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stored_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    delete_folder(spark, _stored_folder(spark))
 
 
 _SHIPPED: set[str] = set()

@@ -11,7 +11,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from riskloom.operators.dedup import one_per_key, split_null_keys
-from riskloom.session import stored
+from riskloom.session import delete_folder, stored
 from riskloom.sources.files import CSV_OPTIONS
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -93,12 +93,7 @@ def _point_to(df: DataFrame, table: str, fmt: str, folder: str, partition_by: Se
         spark.catalog.recoverPartitions(table)
     spark.catalog.refreshTable(table)
     if old:
-        _delete(spark, old)
-
-
-def _delete(spark: SparkSession, folder: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(spark, old)
 
 
 def merged(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from riskloom.session import stored
+from riskloom.session import releasing, stored
 from riskloom.sinks.tables import set_aside, upsert
 
 PAGE = T.StructType([T.StructField("value", T.StringType())])
@@ -56,10 +56,11 @@ def refresh(
     batches = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if feed is not None:
-            batch = _complete_feeds(batch.withColumn("feed", feed), checkpoint, batch_id, completeness)
-        aside = upsert(parse(batch), table, keys, fmt=fmt, partition_by=partition_by, order=order).quarantine
-        set_aside(aside, f"{table}_quarantine", batch_id, fmt)
+        with releasing(batch.sparkSession):
+            if feed is not None:
+                batch = _complete_feeds(batch.withColumn("feed", feed), checkpoint, batch_id, completeness)
+            aside = upsert(parse(batch), table, keys, fmt=fmt, partition_by=partition_by, order=order).quarantine
+            set_aside(aside, f"{table}_quarantine", batch_id, fmt)
         batches.append(batch_id)
 
     run = (

@@ -8,7 +8,7 @@ from riskloom.operators.rollups import aggregate_loans, aggregate_ratings
 from riskloom.plans.analysis import analyse, run_analysis_files
 from riskloom.plans.bronze import Landed, bronze_tables, loans_have_ids, run_bronze, write_bronze, write_bronze_files
 from riskloom.plans.gold import gold_tables, run_gold, run_gold_files
-from riskloom.session import release_stored, shared_folder, stored
+from riskloom.session import _stored_folder, release_stored, releasing, shared_folder, stored, together
 from riskloom.sinks.tables import ensure_table, overwrite, upsert, write_csv, write_csv_unless_empty
 from riskloom.sources.envelopes import parse_batches
 from riskloom.sources.files import read_table_file
@@ -178,6 +178,37 @@ def test_whole_pipeline_over_tables(spark, landed, database):
         df.collect()
 
 
+def left_over(spark):
+    folder = _stored_folder(spark)
+    return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+
+def test_jobs_leave_nothing_stored(spark, landed, database, tmp_path):
+    before = left_over(spark)
+    run_bronze(spark, landed, database)
+    run_bronze(spark, landed, database)
+    assert run_gold(spark, database)["esg_lending_master"] == spark.table(f"{database}.esg_lending_master").count()
+    write_csv(spark.table(f"{database}.esg_lending_master"), str(tmp_path / "master.csv"))
+    run_analysis_files(spark, str(tmp_path / "master.csv"), str(tmp_path))
+    assert left_over(spark) == before
+
+
+def test_a_job_only_releases_its_own_tables(spark):
+    df = spark.range(3)
+    outer = stored(df, "outer")
+    with releasing(spark):
+        mine = stored(df, "mine")
+        with releasing(spark):
+            inner = together(lambda: stored(df, "a"), lambda: stored(df, "b"))
+            assert [t.count() for t in inner] == [3, 3]
+        assert not {"a", "b"} & {name.split("-")[0] for name in left_over(spark)} and mine.count() == 3
+    assert outer.count() == 3 and "mine" not in {name.split("-")[0] for name in left_over(spark)}
+    with pytest.raises(RuntimeError), releasing(spark):
+        kept = stored(df, "kept")
+        raise RuntimeError
+    assert kept.count() == 3
+
+
 def test_gold_without_loans_and_ratings(spark, landed, database):
     tables = bronze_tables(spark, landed)
     write_bronze({"esg": tables["esg"]}, database)
