@@ -41,9 +41,13 @@ def _database(spark: SparkSession) -> str:
     return name
 
 
-def _land(pages: DataFrame, folder: str, by: str | None = None) -> str:
-    """One file per page, in a folder per value of ``by``."""
-    writer = pages.write.mode("append").option("maxRecordsPerFile", 1)
+#: Pages in a bundle; a page of a thousand orders has about 130 KB.
+BUNDLE = 500
+
+
+def _land(pages: DataFrame, folder: str, by: str | None = None, per_file: int = 1) -> str:
+    """One page per line and up to ``per_file`` of them in a file, in a folder per value of ``by``."""
+    writer = pages.write.mode("append").option("maxRecordsPerFile", per_file)
     (writer.partitionBy(by) if by else writer).text(folder)
     return folder
 
@@ -167,14 +171,14 @@ def _refresh(spark: SparkSession, landed: str, progress: str, table: str) -> int
     layout = T.StructType([T.StructField(c, T.StringType()) for c in _PAGE_FIELDS])
     return refresh(
         spark, landed, progress, table, ["loan_id"], lambda pages: normalise_loans(parse_batches(pages, layout), "IBRD"),
-        feed=F.regexp_extract("path", "feed=([^/]+)", 1), completeness=batch_completeness)
+        feed=F.regexp_extract("path", "feed=([^/]+)", 1), completeness=batch_completeness, page_per_line=True)
 
 
 def job_refresh_loans(spark: SparkSession, folder: str) -> DataFrame:
     """Pages land in two steps; a feed is merged after its last page."""
     pages, landed, progress, table = _loan_pages(spark, folder), _folder(spark, "landed"), _folder(spark, "progress"), f"{_database(spark)}.loans"
     for step in (F.col("feed").isin("F") | ~F.col("last"), ~F.col("feed").isin("F") & F.col("last")):
-        _land(pages.filter(step).select("feed", "page"), landed, "feed")
+        _land(pages.filter(step).select("feed", "page"), landed, "feed", BUNDLE)
         _refresh(spark, landed, progress, table)
     return spark.table(table)
 
@@ -182,7 +186,7 @@ def job_refresh_loans(spark: SparkSession, folder: str) -> DataFrame:
 def job_waiting_feeds(spark: SparkSession, folder: str) -> DataFrame:
     """Feeds that still miss a page after a refresh; only the complete one is in the table."""
     pages, landed, progress, table = _loan_pages(spark, folder), _folder(spark, "landed"), _folder(spark, "progress"), f"{_database(spark)}.loans"
-    _land(pages.filter(F.col("feed").isin("F") | ~F.col("last")).select("feed", "page"), landed, "feed")
+    _land(pages.filter(F.col("feed").isin("F") | ~F.col("last")).select("feed", "page"), landed, "feed", BUNDLE)
     batches = _refresh(spark, landed, progress, table)
     merged = spark.table(table).agg(F.count("*")).scalar()
     return batch_completeness(waiting_pages(spark, progress, batches)).withColumn("rows_merged", merged)

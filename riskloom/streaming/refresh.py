@@ -34,6 +34,7 @@ def refresh(
     pages_per_batch: int = 10_000,
     feed: Column | None = None,
     completeness: Callable[[DataFrame], DataFrame] | None = None,
+    page_per_line: bool = False,
 ) -> int:
     """Upsert the rows that ``parse`` finds in the new pages under ``landed``; returns the number of batches.
 
@@ -42,12 +43,16 @@ def refresh(
 
     With ``feed``, an expression of ``path`` and ``page`` that names the feed of a page, and ``completeness``, which gets
     frames with ``feed`` and ``page`` and returns ``feed`` and ``complete``, the pages of a feed are parsed together once
-    all of them have landed.
+    all of them have landed. A batch that completes no feed leaves a table that exists as it is.
+
+    A landed file is one page, or with ``page_per_line`` a bundle of pages with one in each line; a batch then takes up
+    to ``pages_per_batch`` bundles. Bundles keep the number of files, which are listed and opened one by one, far below
+    that of pages.
     """
     pages = (
         spark.readStream.format("text")
         .schema(PAGE)
-        .option("wholetext", True)
+        .options(**({"lineSep": "\n"} if page_per_line else {"wholetext": True}))
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", pages_per_batch)
         .load(landed)
@@ -56,11 +61,17 @@ def refresh(
     batches = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        with releasing(batch.sparkSession):
+        session = batch.sparkSession
+        with releasing(session):
+            ready = True
             if feed is not None:
-                batch = _complete_feeds(batch.withColumn("feed", feed), checkpoint, batch_id, completeness)
-            aside = upsert(parse(batch), table, keys, fmt=fmt, partition_by=partition_by, order=order).quarantine
-            set_aside(aside, f"{table}_quarantine", batch_id, fmt)
+                batch, ready = _complete_feeds(batch.withColumn("feed", feed), checkpoint, batch_id, completeness)
+            parsed = parse(batch)
+            if ready or not session.catalog.tableExists(table):
+                # stored, since the rows are read for the table and for those set aside
+                rows = stored(parsed, "rows")
+                aside = upsert(rows, table, keys, fmt=fmt, partition_by=partition_by, order=order).quarantine
+                set_aside(aside, f"{table}_quarantine", batch_id, fmt)
         batches.append(batch_id)
 
     run = (
@@ -94,16 +105,17 @@ def _waiting(spark: SparkSession, folder: str) -> DataFrame:
 
 def _complete_feeds(
     batch: DataFrame, checkpoint: str, batch_id: int, completeness: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
-    """Pages of the feeds that this batch completes; the others are written to wait for the next batch."""
+) -> tuple[DataFrame, bool]:
+    """Pages of the feeds that this batch completes, and whether it completes any; the others are written to wait for the
+    next batch."""
     spark = batch.sparkSession
     held = _waiting(spark, _waiting_folder(checkpoint, batch_id - 1)).unionByName(batch.select("page", "path", "feed"))
     held = stored(held, "pages")
-    done = completeness(held).filter("complete").select("feed")
+    done = stored(completeness(held).filter("complete").select("feed"), "feeds")
     held.join(done, "feed", "left_anti").select("page", "path", "feed").write.mode("overwrite").parquet(
         _waiting_folder(checkpoint, batch_id)
     )
-    return held.join(done, "feed", "left_semi")
+    return held.join(done, "feed", "left_semi"), not done.isEmpty()
 
 
 def waiting_pages(spark: SparkSession, checkpoint: str, batches: int) -> DataFrame:

@@ -1,5 +1,6 @@
 import json
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -350,6 +351,35 @@ def test_a_feed_is_merged_after_its_last_page(spark, database, tmp_path):
     assert calls == [["ibrd"], [], ["ida"] * 3] and waiting_pages(spark, progress, 3).isEmpty()
 
 
+def test_pages_in_bundles_and_a_batch_without_a_complete_feed(spark, database, tmp_path):
+    from riskloom.plans.job_queries import _land
+    from riskloom.sources.envelopes import batch_completeness
+    from riskloom.streaming.refresh import waiting_pages
+
+    parse = lambda pages: normalise_loans(parse_batches(pages, _schema(", ".join(f"{f} string" for f in loan(1, "", "", 1)))), "IDA")
+    folder, table, progress = str(tmp_path / "pages"), f"{database}.loans", str(tmp_path / "progress")
+
+    def land(feed, count, *ids):
+        pages = [(feed, json.dumps({"count": count, "data": [loan(i, "Chad\r\n", "2022-01-10", 1.0)]})) for i in ids]
+        _land(spark.createDataFrame(pages, "feed string, page string").coalesce(1), folder, "feed", 500)
+
+    def run():
+        return refresh(spark, folder, progress, table, ["loan_id"], parse, feed=F.regexp_extract("path", "feed=([^/]+)", 1),
+                       completeness=batch_completeness, page_per_line=True)
+
+    land("ibrd", 3, "X", "Y", "Z")
+    land("ida", 4, "A", "B")
+    assert len(list((tmp_path / "pages").rglob("*.txt"))) == 2
+    assert run() == 1 and values(spark.table(table), "loan_id") == {("X",), ("Y",), ("Z",)}
+    before = {p: p.stat().st_mtime_ns for p in (Path(f.removeprefix("file:")) for f in spark.table(table).inputFiles())}
+    land("ida", 4, "C")
+    assert run() == 1 and waiting_pages(spark, progress, 2).count() == 3
+    # nothing was complete, so the table was not written again
+    assert {p: p.stat().st_mtime_ns for p in (Path(f.removeprefix("file:")) for f in spark.table(table).inputFiles())} == before
+    land("ida", 4, "D")
+    assert run() == 1 and values(spark.table(table), "loan_id") == {(i,) for i in "XYZABCD"}
+
+
 def test_missing_rows_of_a_feed_raise(spark, landed):
     put(f"{landed.loans['IDA'][0]}/1.json", json.dumps({"count": 2, "data": [loan("C1", "India", "2022-08-01", 30.0)]}))
     with pytest.raises(ValueError, match="1 of 2 rows of IDA"):
