@@ -30,13 +30,14 @@ from riskloom.session import stored
 
 SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 #: Different words whose ids a worker remembers for sure; words not met for that many others are forgotten.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 #: Pieces from open bins that one task packs again.
 LEFT_OVER = 250_000
 #: Numbers of sequences made by the second pass begin here.
 SECOND = 1 << 62
-#: Signs that end a token after a letter and before white space.
-ENDING = re.compile(r"(?<=[a-z])([.,!?;:]+)(?=[ \t\n\r]|$)")
+#: ASCII signs between a letter and white space, which are a token of their own. Those that begin with an apostrophe stay,
+#: since it may belong to the letters behind it.
+ENDING = re.compile(r"(?<=[a-z\u00df-\u00f6\u00f8-\u00ff])([!-&(-/:-@\[-`{-~][!-/:-@\[-`{-~]*)(?![^ \t\n\r])")
 END = bytes(4)
 
 

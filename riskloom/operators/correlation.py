@@ -55,8 +55,9 @@ def _ranked_pairs(df: DataFrame, x: str, y: str) -> DataFrame:
         *[F.when(F.min(c) == F.max(c), F.min(c)).otherwise(F.sum(F.col(c) * F.col("weight")) / F.sum("weight")).alias(f"mean_{c}")
           for c in ("x", "y")],
     )
-    # the means are one row
-    return pairs.join(of_x, "x").join(of_y, "y").join(F.broadcast(means))
+    # the means are one row, which is a value and needs no join
+    ranked = pairs.join(of_x, "x").join(of_y, "y").withColumn("means", means.select(F.struct("*")).scalar())
+    return ranked.select("*", "means.*").drop("means")
 
 
 def _correlations(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -101,6 +101,22 @@ def test_packing(spark, documents):
     assert len(bins) < 1.15 * sum(r.length for r in rows) / 2048 + 1
 
 
+def test_signs_after_letters_share_the_word_they_end():
+    from tokenizers import Tokenizer
+
+    from riskloom.llm.packing import WordIds
+
+    encode, plain = WordIds(queries.tokenizer_path()), Tokenizer.from_file(queries.tokenizer_path())
+    words = ["abé", "word", "straße", "it's", "x÷", "o'", "éß"]
+    signs = ["", "###", "&&&", "$$$", "***", ".'", "'.", "'s", ".'s", "&'ll.", "(%)", "<|", "|>", "-", "_", "~`", "\"", "÷", "≠", "9", "=\u0338", ")\u0301"]
+    texts = [before + w + s + gap + w + s for before in ("", "(", "'") for w in words for s in signs for gap in ("", " ", "\n", "\t\r", "\u00a0", "\x0b")]
+    for text, ids in zip(texts, encode(texts)):
+        assert ids.tolist() == [*plain.encode(text, add_special_tokens=False).ids, 0], text
+    shared = WordIds(queries.tokenizer_path())
+    list(shared(["straßé### straßé&&& straßé. straßé"]))
+    assert "straßé" in shared.known and "straßé###" not in shared.known
+
+
 def test_packing_of_added_tokens(spark):
     """Ids are those of the plain tokenizer, also where a text holds one of its added tokens, in any case."""
     from tokenizers import Tokenizer
