@@ -15,7 +15,7 @@ from riskloom.operators.scoring import normalise, pillar_scores
 from riskloom.plans.analysis import run_analysis_files
 from riskloom.plans.bronze import Landed, run_bronze, write_bronze
 from riskloom.plans.gold import run_gold
-from riskloom.session import shared_folder, stored
+from riskloom.session import shared_folder, stored, together
 from riskloom.sinks.tables import overwrite, write_csv
 from riskloom.sources import star
 from riskloom.sources.envelopes import batch_completeness, parse_batches
@@ -140,10 +140,13 @@ def job_written_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def job_analysis_files(spark: SparkSession, folder: str) -> DataFrame:
     """The analysis table read back from the files that the job made of the master table's files."""
-    scores = pillar_scores(normalise(stored(star.esg(spark, folder, "customer"), "esg"), inverted=star.INVERTED))
-    lending, success = aggregate_loans(star.loans(spark, folder, "customer")), aggregate_ratings(star.ratings(spark, folder, "customer"))
+    rollups = together(
+        lambda: stored(pillar_scores(normalise(stored(star.esg(spark, folder, "customer"), "esg"), inverted=star.INVERTED)), "rollup"),
+        lambda: stored(aggregate_loans(star.loans(spark, folder, "customer")), "rollup"),
+        lambda: stored(aggregate_ratings(star.ratings(spark, folder, "customer")), "rollup"),
+    )
     out = _folder(spark, "analysis")
-    write_csv(build_master(*(stored(df, "rollup") for df in (scores, lending, success)), match="equal"), f"{out}/master.csv")
+    write_csv(build_master(*rollups, match="equal"), f"{out}/master.csv")
     run_analysis_files(spark, f"{out}/master.csv", out)
     kinds = {f.name: f.dataType for f in MASTER.fields}
     layout = T.StructType([T.StructField(c, kinds.get(c, T.DoubleType())) for c in ANALYSIS_COLUMNS])

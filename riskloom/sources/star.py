@@ -79,7 +79,8 @@ def esg(spark: SparkSession, folder: str, grain: str = "nation") -> DataFrame:
     """Indicator values per entity, fiscal year and priority: mean order amount by order year for nations, mean line
     amount by shipping year for customers, who thus have scores in years in which they ordered nothing.
 
-    Line items are added up per order and year before they are joined to their orders.
+    Line items are added up per order and year before they are joined to their orders. Orders get their customer first, so
+    that line items move by order only.
     """
     indicator = F.col("o_orderpriority").alias("indicator")
     if grain == "nation":
@@ -91,9 +92,10 @@ def esg(spark: SparkSession, folder: str, grain: str = "nation") -> DataFrame:
         lines = table(spark, folder, "lineitem").select(
             "l_orderkey", fiscal_year(F.col("l_shipdate")).alias("year"), cents(F.col("l_extendedprice")).alias("amount")
         ).groupBy("l_orderkey", "year").agg(F.sum("amount").alias("amount"), F.count("amount").alias("n"))
-        orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", indicator)
-        facts = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        facts = table(spark, folder, "orders").select("o_orderkey", "o_custkey", indicator)
     owned = facts.join(_customers(spark, folder, grain), F.col("o_custkey") == F.col("c_custkey"))
+    if grain != "nation":
+        owned = lines.join(owned, F.col("l_orderkey") == F.col("o_orderkey"))
     mean = F.sum("amount").cast("double") / 100.0 / F.sum("n")
     values = owned.groupBy("iso3", "country", "year", "indicator").agg(mean.alias("value"))
     return values.withColumn("pillar", pillar_of(F.col("indicator"), PRIORITIES)).select(*ESG.names)
@@ -154,10 +156,9 @@ def ratings(spark: SparkSession, folder: str, grain: str = "nation") -> DataFram
         is_success(outcome_of(F.col("l_returnflag"))).alias("is_successful"),
     )
     if grain == "customer":
-        owners = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-        named = lines.join(owners, F.col("l_orderkey") == F.col("o_orderkey")).join(
-            _customers(spark, folder, grain), F.col("o_custkey") == F.col("c_custkey")
-        )
+        orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+        owners = orders.join(_customers(spark, folder, grain), F.col("o_custkey") == F.col("c_custkey"))
+        named = lines.join(owners, F.col("l_orderkey") == F.col("o_orderkey"))
     else:
         nations = countries(spark, folder).select("n_nationkey", "country")
         suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from riskloom.sources import star
 from riskloom.sources.envelopes import (
     batch_completeness, pair_page_completeness, parse_batches, parse_countries, parse_observations, read_batches,
     read_pages,
@@ -253,3 +254,32 @@ def test_missing_files(spark, tmp_path):
 
 def test_missing_managed_table_reads_as_empty(spark, database):
     assert read_managed(spark, f"{database}.loans", LOANS, optional=True).columns == LOANS.names
+
+
+@pytest.mark.parametrize("build", [star.esg, star.ratings])
+def test_line_items_are_joined_once(spark, tmp_path, build):
+    from datetime import datetime
+
+    day = datetime(2020, 3, 1)
+    rows = {
+        "customer": [(1, "A", 0, 0.0, "X"), (2, "B", 0, 0.0, "X"), (None, "C", 0, 0.0, "X")],
+        "orders": [(10, 1, "F", 1.0, day, "5-LOW"), (10, 2, "F", 1.0, day, "5-LOW"), (11, None, "F", 1.0, day, "5-LOW"), (None, 1, "F", 1.0, day, "5-LOW")],
+        "lineitem": [(k, 1, 1, n, 1.0, 4.0, 0.0, 0.0, "A", "O", day) for k, n in ((10, 1), (10, 2), (11, 1), (None, 1))],
+    }
+    for name, some in rows.items():
+        spark.createDataFrame(some, star.SCHEMAS[name]).write.parquet(str(tmp_path / f"{name}.parquet"))
+    df = build(spark, str(tmp_path), "customer")
+    if build is star.esg:
+        assert sorted((r.iso3, r.year, r.value) for r in df.collect()) == [("1", 2020, 4.0), ("2", 2020, 4.0)]
+    else:
+        assert sorted((r.project_id, r.country) for r in df.collect()) == [("10-1", "A"), ("10-1", "B"), ("10-2", "A"), ("10-2", "B")]
+    # texts in the plan hold line breaks of their own
+    plan = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if line.lstrip(" :")[:3] == "+- " or ":- " in line]
+    indent = lambda line: len(line) - len(line.lstrip(" :+-"))
+    (k,) = [k for k, line in enumerate(plan) if "Relation" in line and "l_orderkey" in line]
+    joins, depth = 0, indent(plan[k])
+    for line in reversed(plan[:k]):
+        if indent(line) < depth:
+            depth = indent(line)
+            joins += "Join" in line
+    assert joins == 1
